@@ -79,7 +79,7 @@ def _is_falsy(v: Column, path: str) -> Column:
         | (t.isin("DOUBLE", "FLOAT") & (as_num == 0))
         | ((t == "STRING") & (as_text == ""))
         | ((t == "BOOLEAN") & (as_text == "false"))
-        | (t == "ARRAY<>")
+        | (t == "ARRAY<VOID>")
         | (t == "OBJECT<>")
     )
 

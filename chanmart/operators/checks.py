@@ -37,7 +37,7 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 def check_relationship(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-NULL ``column`` has no match in ``parent``."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti").select(*child.columns)
 
 
 def _one_row(df: DataFrame, table: str, column: str, check: str, failures) -> DataFrame:

@@ -32,26 +32,44 @@ def unprocessed_images(images: DataFrame, detections: DataFrame, path_col: str =
     and is therefore tried again on the next run.
     """
     done = detections.select(F.col("image_path").alias(path_col)).distinct()
-    return images.join(done, path_col, "left_anti")
+    return images.join(done, path_col, "left_anti").select(*images.columns)
+
+
+def read_file_bytes(uri: str) -> bytes:
+    """Bytes of one file, on the executor (local paths, file: URIs, or any pyarrow filesystem)."""
+    from pyarrow import fs as pafs
+
+    if "://" not in uri and not uri.startswith("file:"):
+        uri = "file://" + uri
+    elif uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:") :]
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    with filesystem.open_input_file(path) as f:
+        return f.read()
 
 
 def detect_objects(images: DataFrame, detector_factory: DetectorFactory, path_col: str = "path") -> DataFrame:
-    """Run a detector over ``(path, content)`` rows: one output row per box.
+    """Run a detector over image rows: one output row per box.
 
-    The detector is built once per task (``detector_factory`` runs on the
+    Rows carry ``path`` and, optionally, ``content``; without ``content`` each
+    task reads the bytes of its own images, so only paths are shuffled.  The
+    detector is built once per task (``detector_factory`` runs on the
     executor), and images stream through in Arrow batches.  A failing image
     yields one row with ``error`` set instead of failing the job; an image
     with no boxes yields no row.  Output columns: image_path,
     detected_object_class, confidence_score, bounding_box, error.
     """
+    has_content = "content" in images.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detect = detector_factory()
         for pdf in batches:
             out: list[tuple] = []
-            for path, content in zip(pdf[path_col], pdf["content"]):
+            contents = pdf["content"] if has_content else [None] * len(pdf)
+            for path, content in zip(pdf[path_col], contents):
                 try:
-                    for cls, conf, box in detect(path, bytes(content) if content is not None else b""):
+                    data = bytes(content) if content is not None else read_file_bytes(path)
+                    for cls, conf, box in detect(path, data):
                         out.append((path, str(cls), float(conf), [float(x) for x in box] if box is not None else None, None))
                 except Exception as exc:  # isolate per-image failures
                     out.append((path, None, None, None, f"{type(exc).__name__}: {exc}"))
@@ -60,7 +78,8 @@ def detect_objects(images: DataFrame, detector_factory: DetectorFactory, path_co
                 columns=["image_path", "detected_object_class", "confidence_score", "bounding_box", "error"],
             )
 
-    return images.select(path_col, "content").mapInPandas(run, DETECTOR_OUTPUT_DDL)
+    cols = [path_col, "content"] if has_content else [path_col]
+    return images.select(*cols).mapInPandas(run, DETECTOR_OUTPUT_DDL)
 
 
 def detected_boxes(detector_output: DataFrame) -> DataFrame:
@@ -99,7 +118,7 @@ def append_new_detections(existing: DataFrame, incoming: DataFrame) -> DataFrame
     has_box = F.col("bounding_box").isNotNull()
     boxed = incoming.filter(has_box).dropDuplicates(keys)
     stored = existing.filter(has_box).select(*keys)
-    new_boxed = boxed.join(stored, keys, "left_anti")
+    new_boxed = boxed.join(stored, keys, "left_anti").select(*incoming.columns)
     return new_boxed.unionByName(incoming.filter(~has_box))
 
 

@@ -60,7 +60,7 @@ def append_new_messages(existing: DataFrame, incoming: DataFrame, key: str = "fi
     the incoming side is shuffled once; the existing side contributes only
     its key column.
     """
-    return incoming.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
+    return incoming.dropDuplicates([key]).join(existing.select(key), key, "left_anti").select(*incoming.columns)
 
 
 def ingest_stats(classified: DataFrame, existing: DataFrame, key: str = "file_path") -> DataFrame:

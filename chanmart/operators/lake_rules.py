@@ -25,7 +25,7 @@ def filter_channels(df: DataFrame, channels: Iterable | DataFrame, column: str =
     """
     if isinstance(channels, DataFrame):
         allowed = channels.select(F.col(channels.columns[0]).alias(column)).distinct()
-        return df.join(allowed, column, "left_semi")
+        return df.join(allowed, column, "left_semi").select(*df.columns)
     return df.filter(F.col(column).isin(list(channels)))
 
 
