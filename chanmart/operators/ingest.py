@@ -17,17 +17,17 @@ from chanmart.session import allow_duplicate_json_keys
 def classify_messages(files: DataFrame) -> DataFrame:
     """Parse each file once and attach its reject reason (NULL = loadable).
 
-    In: ``(file_path, value)``.  Out: ``file_path, value, reject_reason,
-    raw_data`` (normalised JSON text), ``message_id``, ``channel_id``.
+    In: ``(file_path, value, ...)``.  Out: the input columns plus
+    ``reject_reason``, ``raw_data`` (normalised JSON text), ``message_id``,
+    ``channel_id``.
     """
     allow_duplicate_json_keys(files.sparkSession)
     # One parse per file: the reason, the normalised text and both ids all
     # read the same variant.
-    parsed = J.with_parsed(files, "value", keep=["file_path", "value"])
+    parsed = J.with_parsed(files, "value", keep=files.columns)
     doc = F.col("_doc")
     return parsed.select(
-        "file_path",
-        "value",
+        *files.columns,
         J.reject_reason(doc).alias("reject_reason"),
         J.normalized_json(doc).alias("raw_data"),
         J.id_field(doc).alias("message_id"),
@@ -87,13 +87,19 @@ def with_load_metadata(
     existing: DataFrame | None = None,
     loaded_at: _dt.datetime | None = None,
     id_col: str = "id",
+    start: int | None = None,
 ) -> DataFrame:
     """Stamp a surrogate id (unique, increasing, gaps allowed) and the load time.
 
-    Ids continue after the existing table's maximum.  The ids depend on the
-    physical partitioning, so a stamped frame must be written (or
-    checkpointed) once and then read back, never recomputed.
+    Ids start at ``start`` when given (the pipeline keeps a per-table
+    watermark), else after the maximum id of ``existing`` (a scalar
+    subquery), else at 1.  The ids depend on the physical partitioning, so a
+    stamped frame must be written (or checkpointed) once and then read back,
+    never recomputed.
     """
-    start = next_id(existing, id_col) if existing is not None else F.lit(1)
+    if start is not None:
+        start = F.lit(int(start)).cast("long")
+    else:
+        start = next_id(existing, id_col) if existing is not None else F.lit(1)
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at is not None else F.current_timestamp()
     return df.select((start + F.monotonically_increasing_id()).alias(id_col), "*", stamp.alias("loaded_at"))

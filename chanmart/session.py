@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,37 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return path
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL confs for the actions run inside the block, then restore them.
+
+    File-scan confs are read when an action plans its scan, so they must be
+    in place while the job's actions run, not only when frames are built.
+    """
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for an intermediate table.
+
+    Used to write a batch once and read it back (cutting its lineage), where
+    every executor and a restarted driver can see it.
+    """
+    import uuid
+
+    return os.path.join(checkpoint_dir(spark), "chanmart", f"{name}-{uuid.uuid4().hex}")
+
+
 def local_session(app: str = "chanmart", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests, the bench and examples (UI off)."""
     builder = (

@@ -53,3 +53,41 @@ def register_views(spark: SparkSession, root: str, names) -> None:
     """Expose warehouse tables as temp views for SQL callers."""
     for name in names:
         read_table(spark, root, name).createOrReplaceTempView(name)
+
+
+# Surrogate ids are ``start + monotonically_increasing_id()``; the latter puts
+# the partition index in the bits from 33 up.
+_ROWS_PER_PARTITION_BITS = 33
+
+
+def _next_id_path(root: str, name: str) -> str:
+    return os.path.join(root, "_next_id", name)
+
+
+def read_next_id(spark: SparkSession, root: str, name: str, id_col: str = "id") -> int:
+    """First unused surrogate id of a table, from its one-row watermark.
+
+    Without a watermark (first load, or a table written by other means) it
+    is computed once from the table's maximum id.
+    """
+    path = _next_id_path(root, name)
+    if table_exists(spark, root, os.path.join("_next_id", name)):
+        return int(spark.read.parquet(path).first()["next_id"])
+    if table_exists(spark, root, name):
+        top = read_table(spark, root, name).agg({id_col: "max"}).first()[0]
+        return int(top) + 1 if top is not None else 1
+    return 1
+
+
+def advance_next_id(spark: SparkSession, root: str, name: str, start: int, num_partitions: int) -> int:
+    """Store a watermark above every id a stamped frame can hold and return it.
+
+    A frame stamped from ``start`` with ``num_partitions`` partitions holds
+    ids below ``start + num_partitions * 2**33`` (gaps are allowed), so no
+    pass over the written rows is needed.
+    """
+    nxt = start + (max(num_partitions, 1) << _ROWS_PER_PARTITION_BITS)
+    spark.createDataFrame([(nxt,)], "next_id long").coalesce(1).write.mode("overwrite").parquet(
+        _next_id_path(root, name)
+    )
+    return nxt
