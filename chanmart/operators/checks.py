@@ -49,43 +49,79 @@ def _one_row(df: DataFrame, table: str, column: str, check: str, failures) -> Da
     )
 
 
-def unique_failures(df: DataFrame, column: str, table: str = "") -> DataFrame:
-    return _one_row(check_unique(df, column), table, column, "unique", F.count(F.lit(1)))
+def key_counts(df: DataFrame, column: str) -> DataFrame:
+    """(value, n_records) for every non-NULL value: partial aggregation before the shuffle."""
+    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def unique_failures(df: DataFrame, column: str, table: str = "", counts: DataFrame | None = None) -> DataFrame:
+    """Number of values held by more than one row (one row per failing value, as the test reports)."""
+    counts = key_counts(df, column) if counts is None else counts
+    return _one_row(counts.filter(F.col("n_records") > 1), table, column, "unique", F.count(F.lit(1)))
 
 
 def not_null_failures(df: DataFrame, column: str, table: str = "") -> DataFrame:
     return _one_row(df, table, column, "not_null", F.count_if(F.col(column).isNull()))
 
 
+def not_null_failures_many(df: DataFrame, columns, table: str = "") -> DataFrame:
+    """Not-null failures for several columns of one table in a single scan, one row per column."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(f"_n{i}") for i, c in enumerate(columns)])
+    pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(columns))
+    return counts.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, failures)").select(
+        F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("check_name"), "failures"
+    )
+
+
 def relationship_failures(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str, table: str = ""
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    table: str = "",
+    child_counts: DataFrame | None = None,
+    parent_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Number of orphan child rows.
 
-    Child keys are pre-aggregated to (key, rows) before the anti-join, so the
-    join shuffles one row per distinct key instead of every child row, and a
-    hot key cannot overload a join task.
+    Child keys are pre-aggregated to (key, rows) before they meet the parent,
+    so the join shuffles one row per distinct key, and a key held by a third
+    of the child rows is one row by then.  The orphan test is a left join
+    plus a NULL filter: unlike an anti-join, the optimizer does not move it
+    below the pre-aggregation.
     """
-    per_key = (
-        child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    orphans = check_relationship(per_key, column, parent, parent_column)
-    return _one_row(orphans, table, column, "relationships", F.coalesce(F.sum("_rows"), F.lit(0)))
+    per_key = key_counts(child, column) if child_counts is None else child_counts
+    if parent_keys is None:
+        parent_keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    hits = parent_keys.select(column, F.lit(True).alias("_hit"))
+    orphans = per_key.join(hits, column, "left").filter(F.col("_hit").isNull())
+    return _one_row(orphans, table, column, "relationships", F.coalesce(F.sum("n_records"), F.lit(0)))
 
 
 def run_checks(fct_messages: DataFrame, dim_channels: DataFrame, fct_image_detections: DataFrame) -> DataFrame:
-    """The ten declared mart tests: table_name, column_name, check_name, failures, passed."""
+    """The ten declared mart tests: table_name, column_name, check_name, failures, passed.
+
+    Shared work is planned once: each table's not-null counts come from one
+    scan, and each key column is counted per value once; the message and
+    channel key counts serve both the unique test and, as parent key sets,
+    the relationship tests.
+    """
     fm, dc, fd = TB.FCT_MESSAGES, TB.DIM_CHANNELS, TB.FCT_IMAGE_DETECTIONS
+    msg_ids = key_counts(fct_messages, "message_id")
+    chan_ids = key_counts(dim_channels, "channel_id")
+    det_ids = key_counts(fct_image_detections, "detection_id")
     parts = [
-        unique_failures(fct_messages, "message_id", fm),
-        not_null_failures(fct_messages, "message_id", fm),
-        not_null_failures(fct_messages, "channel_id", fm),
-        relationship_failures(fct_messages, "channel_id", dim_channels, "channel_id", fm),
-        unique_failures(dim_channels, "channel_id", dc),
-        not_null_failures(dim_channels, "channel_id", dc),
-        unique_failures(fct_image_detections, "detection_id", fd),
-        not_null_failures(fct_image_detections, "detection_id", fd),
-        not_null_failures(fct_image_detections, "message_id", fd),
-        relationship_failures(fct_image_detections, "message_id", fct_messages, "message_id", fd),
+        unique_failures(fct_messages, "message_id", fm, counts=msg_ids),
+        not_null_failures_many(fct_messages, ["message_id", "channel_id"], fm),
+        relationship_failures(
+            fct_messages, "channel_id", dim_channels, "channel_id", fm, parent_keys=chan_ids.select("channel_id")
+        ),
+        unique_failures(dim_channels, "channel_id", dc, counts=chan_ids),
+        not_null_failures_many(dim_channels, ["channel_id"], dc),
+        unique_failures(fct_image_detections, "detection_id", fd, counts=det_ids),
+        not_null_failures_many(fct_image_detections, ["detection_id", "message_id"], fd),
+        relationship_failures(
+            fct_image_detections, "message_id", fct_messages, "message_id", fd, parent_keys=msg_ids.select("message_id")
+        ),
     ]
     return reduce(DataFrame.unionAll, parts).withColumn("passed", F.col("failures") == 0)
