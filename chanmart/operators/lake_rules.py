@@ -38,13 +38,20 @@ def latest_per_channel(
 ) -> DataFrame:
     """The ``n`` newest rows (highest ``order``) of each channel.
 
-    Two passes so one huge channel is never sorted by one task: first the top
-    ``n`` within (channel, hash-salt) sub-groups -- Spark also applies that
-    limit map-side before the shuffle -- then the top ``n`` of the at most
-    ``fanout * n`` survivors per channel.  Exact: each of a channel's top
-    ``n`` rows is in the top ``n`` of its own sub-group.
+    Exact, and no channel is ever merged by one task from all map tasks:
+
+    1. every map task keeps its own top ``n`` per channel (Spark's partial
+       window-group limit, before the shuffle), and rows are keyed by
+       (channel, map-task id mod ``fanout``), so the top-``n`` merge of a huge
+       channel is spread over ``fanout`` tasks, each seeing the survivors of
+       1/``fanout`` of the map tasks;
+    2. a second top-``n`` per channel merges at most ``fanout * n`` rows.
+
+    Each of a channel's top ``n`` rows is in the top ``n`` of its own sub-group,
+    so the result equals a single top-``n`` over the channel.  The sub-group
+    is the task's split index, which is the same when a task is re-run.
     """
-    salt = F.pmod(F.xxhash64(F.col(order)), F.lit(fanout))
+    salt = F.pmod(F.spark_partition_id(), F.lit(fanout))
     ranked = F.col(order).desc_nulls_last()
     w1 = Window.partitionBy(F.col(channel), F.col("_salt")).orderBy(ranked)
     w2 = Window.partitionBy(F.col(channel)).orderBy(ranked)

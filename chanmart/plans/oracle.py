@@ -102,6 +102,12 @@ ORACLE_SQL = {
         f"WHERE length(word) > 3 AND word NOT IN {STOP} "
         "GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
     ),
+    "product_mentions": _q(
+        ", words AS (SELECT unnest(regexp_split_to_array(lower(message_text), '\\s+')) AS word "
+        "FROM fct WHERE message_text IS NOT NULL) "
+        "SELECT word AS product_name, COUNT(*) AS mention_count FROM words "
+        f"WHERE length(word) > 3 AND word NOT IN {STOP} GROUP BY 1"
+    ),
     "channel_activity": _q(
         "SELECT CAST(CAST(message_posted_at AS DATE) AS VARCHAR) AS post_date, "
         f"COUNT(message_id) AS post_count FROM fct WHERE channel_id = {Q.CHANNEL_ID} GROUP BY 1 ORDER BY 1"

@@ -118,6 +118,10 @@ def top_products(spark, sf_dir):
     return R.top_products(_marts(spark, sf_dir)[2])
 
 
+def product_mentions(spark, sf_dir):
+    return R.product_mentions(_marts(spark, sf_dir)[2])
+
+
 def channel_activity(spark, sf_dir):
     return R.channel_activity(_marts(spark, sf_dir)[2], CHANNEL_ID)
 
@@ -208,6 +212,7 @@ QUERIES = {
     "fct_image_detections": fct_image_detections,
     "search_messages": search_messages,
     "top_products": top_products,
+    "product_mentions": product_mentions,
     "channel_activity": channel_activity,
     "channel_activity_by_name": channel_activity_by_name,
     "channel_id_by_name": channel_id_by_name,
