@@ -61,18 +61,48 @@ _ROWS_PER_PARTITION_BITS = 33
 
 
 def _next_id_path(root: str, name: str) -> str:
-    return os.path.join(root, "_next_id", name)
+    return os.path.join(root, "_next_id", f"{name}.txt")
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS access
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def _read_small_text(spark: SparkSession, path: str) -> str | None:
+    jvm_path, fs = _hadoop_fs(spark, path)
+    if not fs.exists(jvm_path):
+        return None
+    stream = fs.open(jvm_path)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))  # noqa: SLF001
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
+def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a one-line file: write a sibling, then rename over the old one."""
+    jvm_path, fs = _hadoop_fs(spark, path)
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")  # noqa: SLF001
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    fs.delete(jvm_path, False)
+    fs.rename(tmp, jvm_path)
 
 
 def read_next_id(spark: SparkSession, root: str, name: str, id_col: str = "id") -> int:
-    """First unused surrogate id of a table, from its one-row watermark.
+    """First unused surrogate id of a table, from its watermark file.
 
     Without a watermark (first load, or a table written by other means) it
     is computed once from the table's maximum id.
     """
-    path = _next_id_path(root, name)
-    if table_exists(spark, root, os.path.join("_next_id", name)):
-        return int(spark.read.parquet(path).first()["next_id"])
+    text = _read_small_text(spark, _next_id_path(root, name))
+    if text:
+        return int(text.strip())
     if table_exists(spark, root, name):
         top = read_table(spark, root, name).agg({id_col: "max"}).first()[0]
         return int(top) + 1 if top is not None else 1
@@ -84,10 +114,9 @@ def advance_next_id(spark: SparkSession, root: str, name: str, start: int, num_p
 
     A frame stamped from ``start`` with ``num_partitions`` partitions holds
     ids below ``start + num_partitions * 2**33`` (gaps are allowed), so no
-    pass over the written rows is needed.
+    pass over the written rows is needed.  The watermark is one number kept
+    in a small file next to the tables.
     """
     nxt = start + (max(num_partitions, 1) << _ROWS_PER_PARTITION_BITS)
-    spark.createDataFrame([(nxt,)], "next_id long").coalesce(1).write.mode("overwrite").parquet(
-        _next_id_path(root, name)
-    )
+    _write_small_text(spark, _next_id_path(root, name), str(nxt))
     return nxt
