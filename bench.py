@@ -66,6 +66,8 @@ def timed(fn, repeat=REPEAT, warmup=True):
         t0 = time.perf_counter()
         fn()
         runs.append(time.perf_counter() - t0)
+    if os.environ.get("BENCH_VERBOSE"):
+        print("runs", [round(r, 3) for r in runs], file=sys.stderr)
     return round(statistics.median(runs), 3)
 
 

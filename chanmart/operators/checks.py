@@ -98,30 +98,84 @@ def relationship_failures(
     return _one_row(orphans, table, column, "relationships", F.coalesce(F.sum("n_records"), F.lit(0)))
 
 
+# The declared mart tests, in declaration order.
+MART_CHECKS = (
+    ("fct_messages", "message_id", "unique"),
+    ("fct_messages", "message_id", "not_null"),
+    ("fct_messages", "channel_id", "not_null"),
+    ("fct_messages", "channel_id", "relationships"),
+    ("dim_channels", "channel_id", "unique"),
+    ("dim_channels", "channel_id", "not_null"),
+    ("fct_image_detections", "detection_id", "unique"),
+    ("fct_image_detections", "detection_id", "not_null"),
+    ("fct_image_detections", "message_id", "not_null"),
+    ("fct_image_detections", "message_id", "relationships"),
+)
+
+_CHECK_COLS = ("table_name", "column_name", "check_name")
+
+
+def _tagged(df: DataFrame, table: str, column: str, check: str, failures) -> DataFrame:
+    return df.select(
+        F.lit(table).alias("table_name"),
+        F.lit(column).alias("column_name"),
+        F.lit(check).alias("check_name"),
+        failures.cast("long").alias("failures"),
+    )
+
+
 def run_checks(fct_messages: DataFrame, dim_channels: DataFrame, fct_image_detections: DataFrame) -> DataFrame:
     """The ten declared mart tests: table_name, column_name, check_name, failures, passed.
 
-    Shared work is planned once: each table's not-null counts come from one
-    scan, and each key column is counted per value once; the message and
-    channel key counts serve both the unique test and, as parent key sets,
-    the relationship tests.
+    Planned as one job with shared work:
+
+    * every check emits failure contributions (NULL flags per row, one scan
+      per table for all its not-null tests; one row
+      per duplicated value, the row count of each orphan key); one grouped
+      sum over their union -- partially aggregated inside each scan task --
+      turns them into counts, so there is a single final shuffle;
+    * each key column is counted per value once; the message-id and
+      channel-id counts feed both the unique test and, as parent key sets,
+      the relationship tests, and Spark reuses their shuffles;
+    * child keys of a relationship are pre-aggregated before the left join,
+      so a key held by a third of the rows is one row at the join.
     """
     fm, dc, fd = TB.FCT_MESSAGES, TB.DIM_CHANNELS, TB.FCT_IMAGE_DETECTIONS
     msg_ids = key_counts(fct_messages, "message_id")
     chan_ids = key_counts(dim_channels, "channel_id")
     det_ids = key_counts(fct_image_detections, "detection_id")
+
+    def dups(counts, table, column):
+        return _tagged(counts.filter(F.col("n_records") > 1), table, column, "unique", F.lit(1))
+
+    def nulls(df, table, columns):
+        # One scan per table: each row contributes a 0/1 per checked column.
+        pairs = ", ".join(f"'{c}', CAST({c} IS NULL AS BIGINT)" for c in columns)
+        flags = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, failures)")
+        return flags.select(
+            F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("check_name"), "failures"
+        )
+
+    def orphans(child, column, parent_counts, table):
+        per_key = key_counts(child, column)
+        # n_records > 0 always holds; reading it keeps the parent side identical
+        # to the unique test's aggregate, so its shuffle is reused.
+        hits = parent_counts.select(column, (F.col("n_records") > 0).alias("_hit"))
+        lost = per_key.join(hits, column, "left").filter(F.col("_hit").isNull())
+        return _tagged(lost, table, column, "relationships", F.col("n_records"))
+
+    spark = fct_messages.sparkSession
+    zero = spark.createDataFrame([(*c, 0) for c in MART_CHECKS], [*_CHECK_COLS, "failures"])
     parts = [
-        unique_failures(fct_messages, "message_id", fm, counts=msg_ids),
-        not_null_failures_many(fct_messages, ["message_id", "channel_id"], fm),
-        relationship_failures(
-            fct_messages, "channel_id", dim_channels, "channel_id", fm, parent_keys=chan_ids.select("channel_id")
-        ),
-        unique_failures(dim_channels, "channel_id", dc, counts=chan_ids),
-        not_null_failures_many(dim_channels, ["channel_id"], dc),
-        unique_failures(fct_image_detections, "detection_id", fd, counts=det_ids),
-        not_null_failures_many(fct_image_detections, ["detection_id", "message_id"], fd),
-        relationship_failures(
-            fct_image_detections, "message_id", fct_messages, "message_id", fd, parent_keys=msg_ids.select("message_id")
-        ),
+        zero,
+        dups(msg_ids, fm, "message_id"),
+        nulls(fct_messages, fm, ["message_id", "channel_id"]),
+        orphans(fct_messages, "channel_id", chan_ids, fm),
+        dups(chan_ids, dc, "channel_id"),
+        nulls(dim_channels, dc, ["channel_id"]),
+        dups(det_ids, fd, "detection_id"),
+        nulls(fct_image_detections, fd, ["detection_id", "message_id"]),
+        orphans(fct_image_detections, "message_id", msg_ids, fd),
     ]
-    return reduce(DataFrame.unionAll, parts).withColumn("passed", F.col("failures") == 0)
+    totals = reduce(DataFrame.unionAll, parts).groupBy(*_CHECK_COLS).agg(F.sum("failures").alias("failures"))
+    return totals.select(*_CHECK_COLS, F.col("failures").cast("long").alias("failures"), (F.col("failures") == 0).alias("passed"))
