@@ -34,8 +34,23 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     return bool(fs.exists(jvm_path))
 
 
+def _declared_schema(name: str):
+    from chanmart import schemas as SC
+
+    return {
+        RAW_MESSAGES: SC.RAW_MESSAGES,
+        RAW_REJECTS: SC.RAW_REJECTS,
+        RAW_IMAGE_DETECTIONS: SC.RAW_IMAGE_DETECTIONS,
+    }.get(name)
+
+
 def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
-    """Read a warehouse table; an absent table reads as empty when ``schema`` is given."""
+    """Read a warehouse table; an absent table reads as empty when its schema is known.
+
+    Raw tables are read with their declared schema (so the ``lake_date``
+    partition column stays a string instead of being inferred as a date).
+    """
+    schema = schema if schema is not None else _declared_schema(name)
     if schema is not None and not table_exists(spark, root, name):
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)

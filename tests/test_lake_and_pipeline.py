@@ -66,7 +66,22 @@ def test_batch_load_is_idempotent(spark, lake, scratch):
     assert raw.count() == 3
     assert raw.select("id").distinct().count() == 3
     rejects = TB.read_table(spark, root, TB.RAW_REJECTS).collect()
-    assert {r["reject_reason"] for r in rejects} == {"bad_json"}
+    # Met on both runs, recorded once.
+    assert [(r["reject_reason"], r["lake_date"]) for r in rejects] == [("bad_json", "2024-01-02")]
+
+
+def test_ids_stay_unique_across_loads(spark, lake, scratch):
+    root = os.path.join(scratch, "wh")
+    P.load_messages(spark, lake, root)
+    _write_msg(lake, "2024-01-05", "chana", 7, _msg(7, 100, "2024-01-05", "later"))
+    _write_msg(lake, "2024-01-05", "chanb", 8, _msg(8, 200, "2024-01-05", "later too"))
+    assert P.load_messages(spark, lake, root) == {"loaded": 2, "already_loaded": 3, "rejected": 1}
+    raw = TB.read_table(spark, root, TB.RAW_MESSAGES)
+    assert raw.count() == 5 and raw.select("id").distinct().count() == 5
+    first = raw.filter("lake_date < '2024-01-05'").agg({"id": "max"}).first()[0]
+    later = raw.filter("lake_date = '2024-01-05'").agg({"id": "min"}).first()[0]
+    assert later > first
+    assert TB.read_next_id(spark, root, TB.RAW_MESSAGES) > raw.agg({"id": "max"}).first()[0]
 
 
 def test_stream_load_adds_only_new_files(spark, lake, scratch):
