@@ -77,6 +77,7 @@ def raw_image_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.abs(e.embedding[0]).cast("float").alias("confidence_score"),
         F.transform(F.slice(e.embedding, 1, 4), lambda x: x.cast("double")).alias("bounding_box"),
         F.lit(None).cast("timestamp").alias("loaded_at"),
+        F.lit("undated").alias("image_date"),
     )
 
 

@@ -8,7 +8,7 @@ import pytest
 from chanmart.plans import pipeline as P
 from chanmart.sources import lake as LK
 from chanmart.sources import tables as TB
-from chanmart.streaming.ingest_stream import ingest_stream
+from chanmart.streaming.ingest_stream import enrich_stream, ingest_stream
 
 
 def _write_msg(lake, date, channel, msg_id, payload=None, raw=None):
@@ -158,3 +158,21 @@ def test_write_partitioned_lake_skips_existing(spark, scratch):
         "telegram_messages/2024-01-01/chana/2.json",
         "telegram_messages/2024-01-02/chanb/3.json",
     ]
+
+
+def test_enrich_stream_processes_new_images_once(spark, scratch):
+    root = os.path.join(scratch, "wh")
+    images = os.path.join(scratch, "images")
+    ckpt = os.path.join(scratch, "enrich-ckpt")
+    _write_image(images, "2024-01-01", "2.jpg", b"xx")
+    _write_image(images, "2024-01-02", "3.png", b"x")
+    enrich_stream(spark, images, root, BoxDetector, ckpt).awaitTermination()
+    det = TB.read_table(spark, root, TB.RAW_IMAGE_DETECTIONS)
+    assert det.count() == 3
+    assert sorted(r["image_date"] for r in det.select("image_date").distinct().collect()) == ["2024-01-01", "2024-01-02"]
+    enrich_stream(spark, images, root, BoxDetector, ckpt).awaitTermination()
+    assert TB.read_table(spark, root, TB.RAW_IMAGE_DETECTIONS).count() == 3
+    _write_image(images, "2024-01-03", "4.jpg", b"xxx")
+    enrich_stream(spark, images, root, BoxDetector, ckpt).awaitTermination()
+    det = TB.read_table(spark, root, TB.RAW_IMAGE_DETECTIONS)
+    assert det.count() == 6 and det.select("id").distinct().count() == 6
