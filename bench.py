@@ -33,6 +33,7 @@ from chanmart.plans import pipeline as P  # noqa: E402
 from chanmart.plans import registered as Q  # noqa: E402
 from chanmart.session import checkpoint_dir, local_session  # noqa: E402
 from chanmart.sources import fixtures as FX  # noqa: E402
+from chanmart.sources import lake as LK  # noqa: E402
 from chanmart.sources import tables as TB  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -46,16 +47,8 @@ def _sf_of(path: str) -> str:
 
 
 def land_lake(spark, lake: str) -> int:
-    """Write each fixture message as its own JSON file (the scraper's layout)."""
-    files = FX.message_files(spark, SF_DIR)
-    n = 0
-    for row in files.toLocalIterator():  # setup only: the lake is input, not part of the job
-        path = os.path.join(lake, row["file_path"])
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "w", encoding="utf-8") as f:
-            f.write(row["value"])
-        n += 1
-    return n
+    """Write each fixture message as its own JSON file (the scraper's layout), from the executors."""
+    return LK.write_message_files(FX.message_files(spark, SF_DIR), lake)["written"]
 
 
 def timed(fn, repeat=REPEAT, warmup=True):

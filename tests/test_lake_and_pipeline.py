@@ -176,3 +176,21 @@ def test_enrich_stream_processes_new_images_once(spark, scratch):
     enrich_stream(spark, images, root, BoxDetector, ckpt).awaitTermination()
     det = TB.read_table(spark, root, TB.RAW_IMAGE_DETECTIONS)
     assert det.count() == 6 and det.select("id").distinct().count() == 6
+
+
+def test_write_message_files_lands_each_message_once(spark, scratch):
+    lake = os.path.join(scratch, "landed-files")
+    files = spark.createDataFrame(
+        [
+            ("telegram_messages/2024-01-01/chana/1.json", '{"id":1,"message":"é"}'),
+            ("telegram_messages/2024-01-02/chanb/2.json", '{"id":2}'),
+        ],
+        "file_path string, value string",
+    )
+    assert LK.write_message_files(files, lake) == {"written": 2, "skipped": 0}
+    assert LK.write_message_files(files, lake) == {"written": 0, "skipped": 2}
+    back = {os.path.relpath(r["file_path"].replace("file:", ""), lake): r["value"] for r in LK.read_message_files(spark, lake).collect()}
+    assert back == {
+        "telegram_messages/2024-01-01/chana/1.json": '{"id":1,"message":"é"}',
+        "telegram_messages/2024-01-02/chanb/2.json": '{"id":2}',
+    }
