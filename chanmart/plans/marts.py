@@ -25,16 +25,14 @@ def dim_channels(stg_messages: DataFrame) -> DataFrame:
     )
 
 
-def dim_dates(stg_messages: DataFrame, as_of=None) -> DataFrame:
-    """One row per day from the first message's day to ``as_of`` (default today).
+def first_day(stg_messages: DataFrame) -> DataFrame:
+    """One row, ``_d0``: the earliest message day (partial + final min aggregate)."""
+    return stg_messages.agg(F.min(D.day_of(F.col("message_posted_at"))).alias("_d0"))
 
-    The spine holds at most 365*5 + 1 days: day 0 is the first message's
-    date.  Empty when there are no dated messages or the first one is after
-    ``as_of``.  The global minimum is a partial+final aggregate; the spine is
-    generated from that single row, so the dimension never grows with the data.
-    """
+
+def date_spine(first: DataFrame, as_of=None) -> DataFrame:
+    """The date dimension from a one-row ``_d0`` frame (see ``dim_dates``)."""
     bound = D.as_of_date(as_of)
-    first = stg_messages.agg(F.min(D.day_of(F.col("message_posted_at"))).alias("_d0"))
     d0 = F.col("_d0")
     # Filter before building the sequence: an inverted range would raise.
     spine = first.filter(d0 <= bound).select(
@@ -43,11 +41,23 @@ def dim_dates(stg_messages: DataFrame, as_of=None) -> DataFrame:
     return spine.select("date_day", *D.date_attributes(F.col("date_day")))
 
 
-def fct_messages(stg_messages: DataFrame, dates: DataFrame) -> DataFrame:
+def dim_dates(stg_messages: DataFrame, as_of=None) -> DataFrame:
+    """One row per day from the first message's day to ``as_of`` (default today).
+
+    The spine holds at most 365*5 + 1 days: day 0 is the first message's
+    date.  Empty when there are no dated messages or the first one is after
+    ``as_of``.  The global minimum is a partial+final aggregate; the spine is
+    generated from that single row, so the dimension never grows with the data.
+    """
+    return date_spine(first_day(stg_messages), as_of)
+
+
+def fct_messages(stg_messages: DataFrame, dates: DataFrame, carry=()) -> DataFrame:
     """Messages with their date key; a message outside the spine keeps a NULL date.
 
     The date dimension is bounded (at most 1,826 rows, see ``dim_dates``), so it
-    is broadcast: the message side is never shuffled for this join.
+    is broadcast: the message side is never shuffled for this join.  ``carry``
+    names extra input columns to keep (e.g. a partition column).
     """
     days = F.broadcast(dates.select("date_day"))
     msgs = stg_messages.withColumn("_day", D.day_of(F.col("message_posted_at")))
@@ -61,6 +71,7 @@ def fct_messages(stg_messages: DataFrame, dates: DataFrame) -> DataFrame:
         "view_count",
         "has_photo",
         "message_posted_at",
+        *carry,
     )
 
 

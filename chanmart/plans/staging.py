@@ -19,7 +19,7 @@ STG_MESSAGE_COLUMNS = (
 )
 
 
-def stg_telegram_messages(raw_messages: DataFrame) -> DataFrame:
+def stg_telegram_messages(raw_messages: DataFrame, carry=()) -> DataFrame:
     """One typed row per raw message.
 
     ``raw_data`` is parsed once per row into a variant and every field is
@@ -27,8 +27,9 @@ def stg_telegram_messages(raw_messages: DataFrame) -> DataFrame:
     timestamp fails the build, as the warehouse's casts do.  The ``date``
     text carries an offset; casting to TIMESTAMP_NTZ keeps the wall time and
     drops the offset.  ``has_photo`` is NULL, not false, when media is absent.
+    ``carry`` names extra raw columns to keep (e.g. a partition column).
     """
-    parsed = J.with_parsed(raw_messages, "raw_data", lenient=False, keep=["loaded_at"])
+    parsed = J.with_parsed(raw_messages, "raw_data", lenient=False, keep=["loaded_at", *carry])
     doc = F.col("_doc")
     return parsed.select(
         J.json_text(doc, "$.id").cast("bigint").alias("message_id"),
@@ -39,6 +40,7 @@ def stg_telegram_messages(raw_messages: DataFrame) -> DataFrame:
         J.json_text(doc, "$.from_id.user_id").cast("bigint").alias("sender_user_id"),
         (J.json_text(doc, "$.media._") == F.lit(J.PHOTO_MEDIA)).alias("has_photo"),
         "loaded_at",
+        *carry,
     )
 
 

@@ -41,14 +41,17 @@ def _declared_schema(name: str):
         RAW_MESSAGES: SC.RAW_MESSAGES,
         RAW_REJECTS: SC.RAW_REJECTS,
         RAW_IMAGE_DETECTIONS: SC.RAW_IMAGE_DETECTIONS,
+        STG_MESSAGES: SC.STG_MESSAGES,
+        FCT_MESSAGES: SC.FCT_MESSAGES,
     }.get(name)
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
     """Read a warehouse table; an absent table reads as empty when its schema is known.
 
-    Raw tables are read with their declared schema (so the ``lake_date``
-    partition column stays a string instead of being inferred as a date).
+    Raw tables and the message staging/fact tables are read with their
+    declared schema (so the ``lake_date`` partition column stays a string
+    instead of being inferred as a date).
     """
     schema = schema if schema is not None else _declared_schema(name)
     if schema is not None and not table_exists(spark, root, name):
@@ -64,6 +67,14 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite", pa
     writer.parquet(table_path(root, name))
 
 
+def write_partitions(df: DataFrame, root: str, name: str, partition_by, dynamic: bool) -> None:
+    """Write a partitioned table; with ``dynamic`` only the partitions present in ``df`` are replaced."""
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(table_path(root, name))
+
+
 def register_views(spark: SparkSession, root: str, names) -> None:
     """Expose warehouse tables as temp views for SQL callers."""
     for name in names:
@@ -135,3 +146,21 @@ def advance_next_id(spark: SparkSession, root: str, name: str, start: int, num_p
     nxt = start + (max(num_partitions, 1) << _ROWS_PER_PARTITION_BITS)
     _write_small_text(spark, _next_id_path(root, name), str(nxt))
     return nxt
+
+
+def _state_path(root: str, name: str) -> str:
+    return os.path.join(root, "_build_state", f"{name}.json")
+
+
+def read_state(spark: SparkSession, root: str, name: str) -> dict | None:
+    """A job's small bookkeeping record (JSON), or None before its first run."""
+    import json
+
+    text = _read_small_text(spark, _state_path(root, name))
+    return json.loads(text) if text else None
+
+
+def write_state(spark: SparkSession, root: str, name: str, state: dict) -> None:
+    import json
+
+    _write_small_text(spark, _state_path(root, name), json.dumps(state, sort_keys=True))
