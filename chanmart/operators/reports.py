@@ -110,3 +110,47 @@ def channel_activity_by_name(fct_messages: DataFrame, dim_channels: DataFrame, c
     if not found:
         raise KeyError(f"Channel '{channel_name}' not found.")
     return channel_activity(fct_messages, found[0]["channel_id"])
+
+
+# --- report rollups ------------------------------------------------------------
+# Partial counts kept per lake-date partition by the incremental mart build;
+# a report then sums the partials instead of scanning every message.
+
+
+def word_count_rollup(fct_messages: DataFrame, partition_col: str = "lake_date") -> DataFrame:
+    """(lake_date, product_name, mention_count) for the given message partitions."""
+    words = fct_messages.filter(F.col("message_text").isNotNull()).select(
+        partition_col, F.explode(TX.words(F.col("message_text"))).alias("word")
+    )
+    return (
+        words.filter(TX.is_product_word(F.col("word")))
+        .groupBy(partition_col, F.col("word").alias("product_name"))
+        .agg(F.count(F.lit(1)).alias("mention_count"))
+    )
+
+
+def top_products_from_rollup(rollup: DataFrame, limit: int = TOP_LIMIT) -> DataFrame:
+    """``top_products`` answered from word-count partials (same result)."""
+    return (
+        rollup.groupBy("product_name")
+        .agg(F.sum("mention_count").alias("mention_count"))
+        .orderBy(F.col("mention_count").desc_nulls_first(), F.col("product_name").asc_nulls_last())
+        .limit(limit)
+    )
+
+
+def channel_day_rollup(fct_messages: DataFrame, partition_col: str = "lake_date") -> DataFrame:
+    """(lake_date, channel_id, post_date, post_count) for the given message partitions."""
+    return fct_messages.groupBy(
+        partition_col, "channel_id", day_of(F.col("message_posted_at")).cast("string").alias("post_date")
+    ).agg(F.count("message_id").alias("post_count"))
+
+
+def channel_activity_from_rollup(rollup: DataFrame, channel_id: int) -> DataFrame:
+    """``channel_activity`` answered from per-day partials (same result)."""
+    return (
+        rollup.filter(F.col("channel_id") == F.lit(channel_id))
+        .groupBy("post_date")
+        .agg(F.sum("post_count").alias("post_count"))
+        .orderBy(F.col("post_date").asc_nulls_last())
+    )

@@ -200,3 +200,7 @@ ORACLE_SQL = {
         "CAST(COUNT(*) FILTER (WHERE doc_id = 0) AS BIGINT) AS rejected FROM files"
     ),
 }
+
+# The rollup forms answer the same questions from partial counts.
+ORACLE_SQL["top_products_rollup"] = ORACLE_SQL["top_products"]
+ORACLE_SQL["channel_activity_rollup"] = ORACLE_SQL["channel_activity"]

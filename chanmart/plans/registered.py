@@ -22,6 +22,7 @@ from chanmart.operators import reports as R
 from chanmart.plans import marts as M
 from chanmart.plans import staging as S
 from chanmart.sources import fixtures as FX
+from chanmart.sources import lake as LK
 
 # Query parameters shared with the SQL oracles.
 AS_OF = "2024-01-02"
@@ -65,6 +66,13 @@ def _marts(spark: SparkSession, sf_dir: str):
     return stg, dates, fct
 
 
+def _fct_by_lake_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message facts carrying the lake-date partition column, as the pipeline writes them."""
+    raw = _raw_messages(spark, sf_dir).withColumn("lake_date", LK.lake_date(F.col("file_path")))
+    stg = S.stg_telegram_messages(raw, carry=["lake_date"])
+    return M.fct_messages(stg, M.dim_dates(stg, AS_OF), carry=["lake_date"])
+
+
 def _stg_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.stg_image_detections(FX.raw_image_detections(spark, sf_dir))
 
@@ -122,6 +130,14 @@ def product_mentions(spark, sf_dir):
     return R.product_mentions(_marts(spark, sf_dir)[2])
 
 
+def top_products_rollup(spark, sf_dir):
+    return R.top_products_from_rollup(R.word_count_rollup(_fct_by_lake_date(spark, sf_dir)))
+
+
+def channel_activity_rollup(spark, sf_dir):
+    return R.channel_activity_from_rollup(R.channel_day_rollup(_fct_by_lake_date(spark, sf_dir)), CHANNEL_ID)
+
+
 def channel_activity(spark, sf_dir):
     return R.channel_activity(_marts(spark, sf_dir)[2], CHANNEL_ID)
 
@@ -213,6 +229,8 @@ QUERIES = {
     "search_messages": search_messages,
     "top_products": top_products,
     "product_mentions": product_mentions,
+    "top_products_rollup": top_products_rollup,
+    "channel_activity_rollup": channel_activity_rollup,
     "channel_activity": channel_activity,
     "channel_activity_by_name": channel_activity_by_name,
     "channel_id_by_name": channel_id_by_name,

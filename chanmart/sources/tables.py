@@ -16,6 +16,8 @@ DIM_CHANNELS = "dim_channels"
 DIM_DATES = "dim_dates"
 FCT_MESSAGES = "fct_messages"
 FCT_IMAGE_DETECTIONS = "fct_image_detections"
+RPT_WORD_COUNTS = "rpt_word_counts"
+RPT_CHANNEL_DAYS = "rpt_channel_day_counts"
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

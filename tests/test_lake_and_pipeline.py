@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from chanmart.operators import reports as R
 from chanmart.plans import pipeline as P
 from chanmart.sources import lake as LK
 from chanmart.sources import tables as TB
@@ -216,6 +217,16 @@ def test_incremental_marts_equal_full_rebuild(spark, scratch):
         P.build_marts(spark, full, as_of, full_refresh=True)
         for name in (TB.STG_MESSAGES, TB.DIM_CHANNELS, TB.DIM_DATES, TB.FCT_MESSAGES):
             assert _mart_rows(spark, inc, name) == _mart_rows(spark, full, name), name
+        fct = TB.read_table(spark, inc, TB.FCT_MESSAGES)
+        words = TB.read_table(spark, inc, TB.RPT_WORD_COUNTS)
+        days = TB.read_table(spark, inc, TB.RPT_CHANNEL_DAYS)
+        assert [tuple(r) for r in R.top_products_from_rollup(words, 50).collect()] == [
+            tuple(r) for r in R.top_products(fct, 50).collect()
+        ]
+        for ch in (100, 200):
+            assert [tuple(r) for r in R.channel_activity_from_rollup(days, ch).collect()] == [
+                tuple(r) for r in R.channel_activity(fct, ch).collect()
+            ]
 
     # Spine from 2020-01-01 is capped at 2024-12-30: the 2026 message has no date.
     msg("2020-01-01", 1)
