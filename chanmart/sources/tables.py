@@ -122,6 +122,12 @@ def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, jvm_path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a job's own intermediate folder (recursively) once nothing reads it."""
+    jvm_path, fs = _hadoop_fs(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def read_next_id(spark: SparkSession, root: str, name: str, id_col: str = "id") -> int:
     """First unused surrogate id of a table, from its watermark file.
 
