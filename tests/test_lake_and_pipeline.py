@@ -255,3 +255,28 @@ def test_incremental_marts_equal_full_rebuild(spark, scratch):
     msg("2019-01-01", 5, "chanb")
     step("2019-06-01")
     assert TB.read_table(spark, inc, TB.STG_MESSAGES).count() == 5
+
+
+def test_command_line(spark, lake, scratch, capsys):
+    from chanmart.__main__ import main
+
+    root = os.path.join(scratch, "wh-cli")
+    images = os.path.join(scratch, "images-cli")
+    _write_image(images, "2024-01-01", "2.jpg", b"xx")
+    assert main(["load", "--lake", lake, "--root", root]) == 0
+    assert main(["enrich", "--images", images, "--root", root, "--detector", "test_lake_and_pipeline:BoxDetector"]) == 0
+    assert main(["build", "--root", root, "--as-of", "2024-01-31"]) == 0
+    capsys.readouterr()
+    assert main(["test", "--root", root]) == 1  # message id 1 exists in two channels
+    assert len(capsys.readouterr().out.strip().splitlines()) == 10
+    assert main(["report", "--root", root, "top-products", "2"]) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert out[0] == {"product_name": "paracetamol", "mention_count": 1} or len(out) == 2
+    assert main(["report", "--root", root, "activity", "Channel 100"]) == 0
+    days = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert days == [{"post_date": "2024-01-01", "post_count": 2}]
+    assert main(["report", "--root", root, "activity", "Channel 999"]) == 2
+    assert main(["report", "--root", root, "search", "MASKS"]) == 0
+    hits = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert [h["message_text"] for h in hits] == ["masks"]
+    assert main(["report", "--root", root, "top-objects"]) == 0
