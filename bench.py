@@ -33,7 +33,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from chanmart.operators import reports as R  # noqa: E402
-from chanmart.plans import pipeline as P  # noqa: E402
+from chanmart.plans import jobs as P  # noqa: E402
 from chanmart.plans import registered as Q  # noqa: E402
 from chanmart.session import checkpoint_dir, local_session  # noqa: E402
 from chanmart.sources import fixtures as FX  # noqa: E402

@@ -82,7 +82,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     from chanmart.operators import reports as R
-    from chanmart.plans import pipeline as P
+    from chanmart.plans import jobs as P
     from chanmart.sources import tables as TB
 
     spark = _session()

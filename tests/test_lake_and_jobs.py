@@ -6,7 +6,7 @@ import os
 import pytest
 
 from chanmart.operators import reports as R
-from chanmart.plans import pipeline as P
+from chanmart.plans import jobs as P
 from chanmart.sources import lake as LK
 from chanmart.sources import tables as TB
 from chanmart.streaming.ingest_stream import enrich_stream, ingest_stream
@@ -264,7 +264,7 @@ def test_command_line(spark, lake, scratch, capsys):
     images = os.path.join(scratch, "images-cli")
     _write_image(images, "2024-01-01", "2.jpg", b"xx")
     assert main(["load", "--lake", lake, "--root", root]) == 0
-    assert main(["enrich", "--images", images, "--root", root, "--detector", "test_lake_and_pipeline:BoxDetector"]) == 0
+    assert main(["enrich", "--images", images, "--root", root, "--detector", "test_lake_and_jobs:BoxDetector"]) == 0
     assert main(["build", "--root", root, "--as-of", "2024-01-31"]) == 0
     capsys.readouterr()
     assert main(["test", "--root", root]) == 1  # message id 1 exists in two channels
