@@ -55,6 +55,7 @@ def main(argv=None) -> int:
     p = sub.add_parser("load")
     p.add_argument("--lake", required=True)
     p.add_argument("--root", required=True)
+    p.add_argument("--dates", help="comma-separated yyyy-MM-dd folders to read (default: all)")
     p = sub.add_parser("stream")
     p.add_argument("--lake", required=True)
     p.add_argument("--root", required=True)
@@ -63,6 +64,7 @@ def main(argv=None) -> int:
     p.add_argument("--images", required=True)
     p.add_argument("--root", required=True)
     p.add_argument("--detector", required=True, help="module:callable returning a detector")
+    p.add_argument("--dates", help="comma-separated yyyy-MM-dd folders to read (default: all)")
     p = sub.add_parser("build")
     p.add_argument("--root", required=True)
     p.add_argument("--as-of")
@@ -75,6 +77,7 @@ def main(argv=None) -> int:
     p.add_argument("--images")
     p.add_argument("--detector")
     p.add_argument("--as-of")
+    p.add_argument("--dates", help="comma-separated yyyy-MM-dd folders to read (default: all)")
     p = sub.add_parser("report")
     p.add_argument("--root", required=True)
     p.add_argument("name", choices=["search", "top-products", "activity", "top-objects"])
@@ -86,14 +89,16 @@ def main(argv=None) -> int:
     from chanmart.sources import tables as TB
 
     spark = _session()
+    dates = getattr(args, "dates", None)
+    dates = [d.strip() for d in dates.split(",") if d.strip()] if dates else None
     if args.cmd == "load":
-        print(json.dumps(P.load_messages(spark, args.lake, args.root)))
+        print(json.dumps(P.load_messages(spark, args.lake, args.root, dates=dates)))
     elif args.cmd == "stream":
         from chanmart.streaming.ingest_stream import ingest_stream
 
         ingest_stream(spark, args.lake, args.root, args.checkpoint).awaitTermination()
     elif args.cmd == "enrich":
-        print(json.dumps(P.enrich_images(spark, args.images, args.root, _detector(args.detector))))
+        print(json.dumps(P.enrich_images(spark, args.images, args.root, _detector(args.detector), dates=dates)))
     elif args.cmd == "build":
         print(json.dumps(P.build_marts(spark, args.root, args.as_of, full_refresh=args.full_refresh)))
     elif args.cmd == "test":
@@ -104,7 +109,8 @@ def main(argv=None) -> int:
         return 0 if all(r["passed"] for r in rows) else 1
     elif args.cmd == "run":
         detector = _detector(args.detector) if args.detector else None
-        print(json.dumps(P.run_pipeline(spark, args.lake, args.images, args.root, detector, args.as_of), default=str))
+        result = P.run_pipeline(spark, args.lake, args.images, args.root, detector, args.as_of, dates=dates)
+        print(json.dumps(result, default=str))
     elif args.cmd == "report":
         fct = TB.read_table(spark, args.root, TB.FCT_MESSAGES)
         if args.name == "search":

@@ -280,3 +280,22 @@ def test_command_line(spark, lake, scratch, capsys):
     hits = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [h["message_text"] for h in hits] == ["masks"]
     assert main(["report", "--root", root, "top-objects"]) == 0
+
+
+def test_load_by_date_folders(spark, lake, scratch):
+    root = os.path.join(scratch, "wh-dates")
+    assert P.load_messages(spark, lake, root, dates=["2024-01-02", "2030-01-01"]) == {
+        "loaded": 1,
+        "already_loaded": 0,
+        "rejected": 1,
+    }
+    assert P.load_messages(spark, lake, root, dates=["2030-01-01"]) == {"loaded": 0, "already_loaded": 0, "rejected": 0}
+    assert P.load_messages(spark, lake, root) == {"loaded": 2, "already_loaded": 1, "rejected": 1}
+    images = os.path.join(scratch, "images-dates")
+    _write_image(images, "2024-01-01", "2.jpg", b"xx")
+    _write_image(images, "2024-01-02", "3.jpg", b"x")
+    assert P.enrich_images(spark, images, root, BoxDetector, dates=["2024-01-02"]) == {
+        "new_detections": 1,
+        "failed_images": 0,
+    }
+    assert P.enrich_images(spark, images, root, BoxDetector) == {"new_detections": 2, "failed_images": 0}
