@@ -5,6 +5,7 @@ from chanmart.sources.lake import (
     read_images,
     read_landed_messages,
     read_message_files,
+    write_message_files,
     write_partitioned_lake,
 )
 from chanmart.sources.tables import read_input, read_table, register_views, write_table
@@ -17,6 +18,7 @@ __all__ = [
     "read_message_files",
     "read_table",
     "register_views",
+    "write_message_files",
     "write_partitioned_lake",
     "write_table",
 ]

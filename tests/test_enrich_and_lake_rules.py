@@ -7,7 +7,6 @@ import pandas as pd
 
 from chanmart.operators import enrich as E
 from chanmart.operators import lake_rules as L
-from chanmart.sources import tables as TB  # noqa: F401
 
 
 def test_image_message_id(spark):
