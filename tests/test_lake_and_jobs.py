@@ -299,3 +299,24 @@ def test_load_by_date_folders(spark, lake, scratch):
         "failed_images": 0,
     }
     assert P.enrich_images(spark, images, root, BoxDetector) == {"new_detections": 2, "failed_images": 0}
+
+
+def test_stream_many_micro_batches_keep_ids_unique(spark, lake, scratch):
+    root = os.path.join(scratch, "wh-micro")
+    ckpt = os.path.join(scratch, "micro-ckpt")
+    q = ingest_stream(spark, lake, root, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
+    raw = TB.read_table(spark, root, TB.RAW_MESSAGES)
+    assert raw.count() == 3 and raw.select("id").distinct().count() == 3
+    assert TB.read_table(spark, root, TB.RAW_REJECTS).count() == 1
+
+
+def test_session_conf_is_restored(spark):
+    from chanmart.session import session_conf
+
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    with session_conf(spark, {key: "12345"}):
+        assert spark.conf.get(key) == "12345"
+    assert spark.conf.get(key) == before
