@@ -42,3 +42,17 @@ def test_entry_smoke(spark):
     df = ENTRY.entry(spark)
     assert df.columns == ["product_name", "mention_count"]
     assert df.count() == 10
+
+
+@pytest.mark.parametrize(
+    "name", ["stg_messages", "dim_dates", "fct_messages", "channel_activity", "photo_worklist", "append_new_messages"]
+)
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, con, name):
+    from chanmart.session import session_conf
+
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/Los_Angeles", "spark.sql.ansi.enabled": "false"}):
+        df = ENTRY.queries()[name](spark, SF)
+        s_rows = [tuple(r) for r in df.collect()]
+    res = con.execute(ENTRY.oracle_sql()[name])
+    d_cols = [c[0] for c in res.description]
+    assert _rows(df.columns, s_rows) == _rows(d_cols, res.fetchall())
