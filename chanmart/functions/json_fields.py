@@ -95,15 +95,27 @@ def _is_integer_value(v: Column, path: str) -> Column:
     return ((t == "BIGINT") | (t == "STRING")) & text.try_cast("bigint").isNotNull()
 
 
-def reject_reason(v: Column) -> Column:
+# Fixed value: an escaped NUL character in JSON text, i.e. \u0000 preceded by
+# an even number of backslashes (an odd number would make it literal text).
+_NUL_ESCAPE = r"(^|[^\\])(\\\\)*\\u0000"
+
+
+def has_nul_escape(text: Column) -> Column:
+    """True when JSON text holds a NUL character (a cheap substring test gates the regex)."""
+    return F.contains(text, F.lit("\\u0000")) & text.rlike(_NUL_ESCAPE)
+
+
+def reject_reason(v: Column, text: Column | None = None) -> Column:
     """Why a raw file cannot be loaded, or NULL when it can.
 
-    ``v`` is the file's parsed variant (``parse_variant``), projected as its
-    own column first so each file is parsed once.  Precedence follows the
-    loader: undecodable JSON, then a root or ``peer_id`` that is not an object,
-    then a falsy ``id``, then values the raw table's BIGINT columns refuse,
-    then NUL characters (rejected by the JSON column type).
+    ``v`` is the file's parsed variant (see ``with_parsed``: each file is
+    parsed once) and ``text`` its JSON text (default: ``v`` re-serialised).
+    Precedence follows the loader: undecodable JSON, then a root or
+    ``peer_id`` that is not an object, then a falsy ``id``, then values the
+    raw table's BIGINT columns refuse, then NUL characters (rejected by the
+    JSON column type).
     """
+    text = v.cast("string") if text is None else text
     root_t = variant_type(v)
     peer_t = variant_type(v, "$.peer_id")
     channel_t = variant_type(v, "$.peer_id.channel_id")
@@ -117,7 +129,7 @@ def reject_reason(v: Column) -> Column:
         .when(_is_falsy(v, "$.id"), F.lit(MISSING_ID))
         .when(~_is_integer_value(v, "$.id"), F.lit(BAD_ID))
         .when(~channel_ok, F.lit(BAD_CHANNEL))
-        .when(F.contains(v.cast("string"), F.lit("\\u0000")), F.lit(NUL_CHAR))
+        .when(has_nul_escape(text), F.lit(NUL_CHAR))
     )
 
 

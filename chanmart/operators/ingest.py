@@ -28,7 +28,7 @@ def classify_messages(files: DataFrame) -> DataFrame:
     doc = F.col("_doc")
     return parsed.select(
         *files.columns,
-        J.reject_reason(doc).alias("reject_reason"),
+        J.reject_reason(doc, F.col("value")).alias("reject_reason"),
         J.normalized_json(doc).alias("raw_data"),
         J.id_field(doc).alias("message_id"),
         J.channel_field(doc).alias("channel_id"),

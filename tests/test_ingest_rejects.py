@@ -26,6 +26,8 @@ CASES = [
     ('{"id":1,"peer_id":{"channel_id":"x"}}', "bad_channel", None, None),
     ('{"id":1,"peer_id":{"channel_id":1.5}}', "bad_channel", None, None),
     ('{"id":1,"message":"a\\u0000b"}', "nul_char", None, None),
+    ('{"id":1,"message":"a\\\\\\u0000b"}', "nul_char", None, None),
+    ('{"id":1,"message":"a\\\\u0000b"}', None, 1, None),
     ("[1]", "not_object", None, None),
     ("null", "not_object", None, None),
     ("{bad", "bad_json", None, None),
