@@ -59,8 +59,18 @@ def variant_type(v: Column, path: str | None = None) -> Column:
     return F.schema_of_variant(target)
 
 
-def _is_object(type_name: Column) -> Column:
-    return type_name.startswith("OBJECT")
+def _is_object(v: Column, path: str = "$") -> Column:
+    """True when the value at ``path`` is a JSON object.
+
+    A cast to the empty struct succeeds exactly for objects and reads no
+    fields, unlike building the value's full type name.
+    """
+    return F.try_variant_get(v, path, "struct<>").isNotNull()
+
+
+def _is_present(v: Column, path: str) -> Column:
+    """True when ``path`` exists (a JSON null counts as present)."""
+    return F.try_variant_get(v, path, "variant").isNotNull()
 
 
 def _is_falsy(v: Column, path: str) -> Column:
@@ -116,16 +126,14 @@ def reject_reason(v: Column, text: Column | None = None) -> Column:
     JSON column type).
     """
     text = v.cast("string") if text is None else text
-    root_t = variant_type(v)
-    peer_t = variant_type(v, "$.peer_id")
     channel_t = variant_type(v, "$.peer_id.channel_id")
     channel_ok = (
         channel_t.isNull() | (channel_t == "VOID") | _is_integer_value(v, "$.peer_id.channel_id")
     )
     return (
         F.when(v.isNull(), F.lit(BAD_JSON))
-        .when(~_is_object(root_t), F.lit(NOT_OBJECT))
-        .when(peer_t.isNotNull() & ~_is_object(peer_t), F.lit(BAD_PEER))
+        .when(~_is_object(v), F.lit(NOT_OBJECT))
+        .when(_is_present(v, "$.peer_id") & ~_is_object(v, "$.peer_id"), F.lit(BAD_PEER))
         .when(_is_falsy(v, "$.id"), F.lit(MISSING_ID))
         .when(~_is_integer_value(v, "$.id"), F.lit(BAD_ID))
         .when(~channel_ok, F.lit(BAD_CHANNEL))
