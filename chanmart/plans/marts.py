@@ -75,15 +75,21 @@ def fct_messages(stg_messages: DataFrame, dates: DataFrame, carry=()) -> DataFra
     )
 
 
-def fct_image_detections(stg_detections: DataFrame, messages: DataFrame) -> DataFrame:
+def fct_image_detections(stg_detections: DataFrame, messages: DataFrame, broadcast_detections: bool = False) -> DataFrame:
     """One row per detected box with its message's channel and date.
 
-    Left join on ``message_id`` only.  Both sides grow with the data, so no
-    broadcast is forced; the planner (with AQE) picks broadcast only from
-    measured sizes, and skewed message ids on the detection side are split
-    by AQE's skew-join handling.
+    Left join on ``message_id`` only.  Both sides grow with the data, so by
+    default no broadcast is forced; the planner (with AQE) picks one only from
+    measured sizes, and skewed message ids on the detection side are split by
+    AQE's skew-join handling.  ``broadcast_detections`` (for a caller that
+    has checked the detections' size) first reduces the message side with a
+    semi-join against the detections' broadcast message ids -- the message
+    keys are streamed, never shuffled -- and then joins the two small sides.
     """
     m = messages.select("message_id", "channel_id", "date_day")
+    if broadcast_detections:
+        wanted = F.broadcast(stg_detections.select("message_id").distinct())
+        m = m.join(wanted, "message_id", "left_semi")
     joined = stg_detections.join(m, "message_id", "left")
     return joined.select(
         "detection_id",

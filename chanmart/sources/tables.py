@@ -122,6 +122,12 @@ def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, jvm_path)
 
 
+def bytes_on_disk(spark: SparkSession, root: str, name: str) -> int:
+    """Total file bytes of a table (a filesystem metadata call; 0 when absent)."""
+    jvm_path, fs = _hadoop_fs(spark, table_path(root, name))
+    return int(fs.getContentSummary(jvm_path).getLength()) if fs.exists(jvm_path) else 0
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a job's own intermediate folder (recursively) once nothing reads it."""
     jvm_path, fs = _hadoop_fs(spark, path)
