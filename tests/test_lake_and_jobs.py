@@ -335,3 +335,22 @@ def test_session_conf_is_restored(spark):
     with session_conf(spark, {key: "12345"}):
         assert spark.conf.get(key) == "12345"
     assert spark.conf.get(key) == before
+
+
+def test_compact_lake_feeds_the_load_once_job(spark, scratch):
+    out = os.path.join(scratch, "compact")
+    root = os.path.join(scratch, "wh-compact")
+    msgs = spark.createDataFrame(
+        [
+            (1, "chana", "2024-01-01", json.dumps(_msg(1, 100, "2024-01-01", "one"))),
+            (2, "chanb", "2024-01-02", json.dumps(_msg(2, 200, "2024-01-02", "two"))),
+            (3, "chanb", "2024-01-02", '{"id": 0}'),
+        ],
+        "message_id long, channel string, message_date string, payload string",
+    )
+    LK.write_partitioned_lake(msgs, out)
+    landed = LK.read_landed_messages(spark, out)
+    assert P.load_message_batch(spark, landed, root) == {"loaded": 2, "already_loaded": 0, "rejected": 1}
+    assert P.load_message_batch(spark, landed, root) == {"loaded": 0, "already_loaded": 2, "rejected": 1}
+    raw = TB.read_table(spark, root, TB.RAW_MESSAGES)
+    assert sorted(r["lake_date"] for r in raw.collect()) == ["2024-01-01", "2024-01-02"]
