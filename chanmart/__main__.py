@@ -116,8 +116,11 @@ def main(argv=None) -> int:
         if args.name == "search":
             _print_rows(R.search_messages(fct, args.arg or ""))
         elif args.name == "top-products":
-            words = TB.read_table(spark, args.root, TB.RPT_WORD_COUNTS)
-            _print_rows(R.top_products_from_rollup(words, int(args.arg or R.TOP_LIMIT)))
+            n = int(args.arg or R.TOP_LIMIT)
+            if TB.table_exists(spark, args.root, TB.RPT_WORD_COUNTS):
+                _print_rows(R.top_products_from_rollup(TB.read_table(spark, args.root, TB.RPT_WORD_COUNTS), n))
+            else:  # a warehouse built without rollups: count from the facts
+                _print_rows(R.top_products(fct, n))
         elif args.name == "activity":
             try:
                 _print_rows(R.channel_activity_by_name(fct, TB.read_table(spark, args.root, TB.DIM_CHANNELS), args.arg))
