@@ -354,3 +354,17 @@ def test_compact_lake_feeds_the_load_once_job(spark, scratch):
     assert P.load_message_batch(spark, landed, root) == {"loaded": 0, "already_loaded": 2, "rejected": 1}
     raw = TB.read_table(spark, root, TB.RAW_MESSAGES)
     assert sorted(r["lake_date"] for r in raw.collect()) == ["2024-01-01", "2024-01-02"]
+
+
+def test_invalid_utf8_file_is_rejected_as_bad_json(spark, scratch):
+    lake = os.path.join(scratch, "lake-bytes")
+    d = os.path.join(lake, "telegram_messages", "2024-01-01", "chana")
+    os.makedirs(d)
+    with open(os.path.join(d, "1.json"), "wb") as f:
+        f.write(b'{"id": 1, "message": "\xff\xfe"}')
+    with open(os.path.join(d, "2.json"), "wb") as f:
+        f.write('{"id": 2, "message": "ünïcödé"}'.encode("utf-8"))
+    root = os.path.join(scratch, "wh-bytes")
+    assert P.load_messages(spark, lake, root) == {"loaded": 1, "already_loaded": 0, "rejected": 1}
+    rejects = TB.read_table(spark, root, TB.RAW_REJECTS).collect()
+    assert [(os.path.basename(r["file_path"]), r["reject_reason"]) for r in rejects] == [("1.json", "bad_json")]
