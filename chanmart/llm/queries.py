@@ -3,14 +3,28 @@
 from chanmart.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from chanmart.llm.line_dedup import OP4_SQL, op4_line_dedup
 from chanmart.llm.packing import op1_best_fit_packing
+from chanmart.llm.pii import OP10_SQL, op10_pii
+from chanmart.llm.revisits import OP7_SQL, op7_warc_revisits
+from chanmart.llm.secrets import OP2_SQL, op2_secret_scan
+from chanmart.llm.topk import OP3_SQL, op3_exact_topk
+from chanmart.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_exact_topk": op3_exact_topk,
     "op4_line_dedup": op4_line_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL = {
+    "op2_secret_scan": OP2_SQL,
+    "op3_exact_topk": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op7_warc_revisits": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
+    "op10_pii": OP10_SQL,
 }

@@ -12,6 +12,13 @@ from chanmart.llm.common import prepare, staged
 from chanmart.llm.decontaminate import decontaminate
 from chanmart.llm.line_dedup import dedup_lines
 from chanmart.llm.packing import packed_documents
+from chanmart.llm.toxicity import THRESHOLD, score_toxicity, trained
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the classifier rejects are gone; all columns and texts of the others stay."""
+    scored = score_toxicity(docs, trained(spark, sf_dir, docs), score_col="__toxicity")
+    return scored.filter(scored["__toxicity"] < THRESHOLD).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +37,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
     ("benchmark_decontamination", remove_benchmark_passages),
     ("best_fit_packing", pack),
