@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chanmart.llm.common import prepare, staged
 from chanmart.llm.decontaminate import decontaminate
 from chanmart.llm.line_dedup import dedup_lines
+from chanmart.llm.near_dup import one_of_each
 from chanmart.llm.packing import packed_documents
 from chanmart.llm.toxicity import THRESHOLD, score_toxicity, trained
 
@@ -26,6 +27,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return dedup_lines(docs, min_docs=10, min_chars=1).select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: of each class of near copies the document of smallest id stays."""
+    return one_of_each(docs)
+
+
 def remove_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: the spans of ten words or more that an item has too are cut out."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -39,6 +45,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
+    ("minhash_near_dedup", drop_near_copies),
     ("benchmark_decontamination", remove_benchmark_passages),
     ("best_fit_packing", pack),
 ]
