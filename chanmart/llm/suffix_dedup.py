@@ -48,7 +48,9 @@ from chanmart.llm.packing import _few
 
 LENGTH = 200
 GRAM = 64
-FILTER_BITS = 1 << 28
+FILTER_BITS = 1 << 27
+#: Text bytes whose rolling hashes are held at once.
+CHUNK_BYTES = 1 << 20
 #: Text bytes a bucket of the merge stands for.
 BUCKET_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -334,7 +336,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
         seen = bloom.SeenTwice(bits)
         for batch in batches:
             raw = byte_texts(batch.column(0))
-            for a, b in _few(raw):
+            for a, b in _few(raw, CHUNK_BYTES):
                 found = anchors(raw[a:b], length, gram)[2]
                 if len(found):
                     seen.add(found)
@@ -355,7 +357,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
 
         for batch in batches:
             raw = byte_texts(batch.column(0))
-            for a, b in _few(raw):
+            for a, b in _few(raw, CHUNK_BYTES):
                 text, at, h = anchors(raw[a:b], length, gram)
                 keep = bloom.probe(twice.value, h, bits) if len(h) else np.zeros(0, bool)
                 digests: dict[int, bytes] = {}
