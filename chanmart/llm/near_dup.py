@@ -51,6 +51,8 @@ BANDS, ROWS = 20, 4
 K = BANDS * ROWS
 BUCKET_ROWS = 1000
 MEMBERS_BITS = 1 << 26
+#: Text bytes whose shingles and darts are held at once.
+CHUNK_BYTES = 1 << 20
 _word_hash: dict[bytes, int] = {}
 
 
@@ -148,7 +150,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw = byte_texts(batch.column(1))
-            for a, b in _few(raw):
+            for a, b in _few(raw, CHUNK_BYTES):
                 elements, doc = unit_elements(raw[a:b])
                 keys = band_keys(dart_signatures(elements, doc, b - a)).astype(np.int64)
                 at = np.searchsorted(doc, np.arange(b - a + 1))
@@ -222,7 +224,7 @@ def _elements_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
         for batch in batches:
             batch = batch.filter(pa.array(maybe_in(sent, batch.column(0))))
             raw = byte_texts(batch.column(1))
-            for a, b in _few(raw):
+            for a, b in _few(raw, CHUNK_BYTES):
                 elements, doc = unit_elements(raw[a:b])
                 at = np.searchsorted(doc, np.arange(b - a + 1))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([elements[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())], names=["id", "elements"])
