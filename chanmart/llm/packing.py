@@ -20,6 +20,8 @@ kept; an empty table gives no pieces.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,7 +62,7 @@ class WordCoder:
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         ids = [e.ids for e in encoded]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
         self.flat = np.concatenate([self.flat, flat])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
         for w in new:
@@ -71,11 +73,10 @@ class WordCoder:
         if len(self.number) > CACHE_WORDS:
             self._forget()
         split = [t.split() for t in texts]
-        new = list({w for ws in split for w in ws}.difference(self.number))
+        new = [w for w in set().union(*split) if w not in self.number]
         if new:
             self._learn(new)
-        number = self.number
-        index = np.fromiter((number[w] for ws in split for w in ws), np.int64, sum(map(len, split)))
+        index = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
         lengths = self.start[index + 1] - self.start[index]
         word_ends = np.concatenate([[0], np.cumsum(lengths)])
         flat = self.flat[np.arange(word_ends[-1]) - np.repeat(word_ends[:-1] - self.start[index], lengths)]
@@ -91,7 +92,7 @@ def _coder(path: str) -> WordCoder:
     return _coders[path]
 
 
-def _few(texts: list[bytes], most: int = 4 << 20):
+def _few(texts: list[bytes], most: int = 2 << 20):
     """Ranges of texts of about ``most`` bytes together, so that memory does not follow the batch."""
     start = size = 0
     for i, t in enumerate(texts):
