@@ -12,7 +12,7 @@ the model broadcast (at most ``FEATURES`` weights); nothing is shuffled.
 
 Defined cases: NULL and empty texts have no feature and get the intercept's
 score; rows whose label or id is NULL aren't learned from; an id labelled
-twice counts as toxic if either row says so; without labels every score is
+twice, or a text under two ids, counts as toxic if either row says so; without labels every score is
 0.5; with one label only it is the smoothed share; an empty table gives no
 rows.
 """
@@ -144,7 +144,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(crc32_of_id(F.col("doc_id")) % 3 != 1)
     chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]).select("text", "toxic")  # at most ``rows`` small rows
+    labelled = texts.join(F.broadcast(chosen), "doc_id")  # at most ``rows`` small rows
+    return labelled.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES, pair_weight: float = PAIR_WEIGHT) -> tuple[dict[str, float], float]:
