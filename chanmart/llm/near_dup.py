@@ -23,7 +23,8 @@ shrink.  Components of all links are found by repeated smallest-label joins,
 written down each round.
 
 Defined cases: texts of one to four words are one shingle; NULL, empty and
-wordless texts and NULL ids are linked to nothing; rows repeating an id are
+wordless texts are linked to nothing, rows with a
+NULL id neither (their class is NULL, and ``one_of_each`` keeps them); rows repeating an id are
 one document whose links are those of all its rows; an empty table gives no
 rows; other columns are ignored.
 """
@@ -285,7 +286,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     classes = again.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").filter((F.col("n") > 1) | F.col("label").isNotNull())
     classes = staged(classes.select(F.col("print").alias("p"), F.coalesce("label", "rep").alias("class_id")), "near-classes")
     out = sketches.select("id", "print").join(classes, F.col("print") == F.col("p"), "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
+    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
