@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import sys
 import tempfile
@@ -16,13 +19,22 @@ from chanmart.session import checkpoint_dir, staging_path
 _REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_CONF, BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+#: Rows of an Arrow batch where the session keeps Spark's default: rows here are whole texts.
+BATCH_ROWS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
     """Make the package importable in Python workers and a shared checkpoint folder known.
 
     The folder is the one the session names in ``spark.checkpoint.dir``; a
     temporary one is made only where none is named and all tasks run on this
     machine (tests, local runs).  A cluster without the setting is an error.
+    Arrow batches hold ``BATCH_ROWS`` rows from now on, unless the session has
+    a batch size of its own.
     """
+    if spark.conf.get(BATCH_CONF) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _REPO not in paths:
@@ -47,10 +59,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def crc32_of_id(column):
     """crc32 of an id written as decimal text (NULL id: of the empty text)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")))
@@ -83,3 +91,22 @@ def replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBat
     columns = list(batch.columns)
     columns[at] = values.cast(batch.schema.field(at).type)
     return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
+def tidy(run):
+    """Wrap a task's batch function so that freed memory goes back to the system when the task ends.
+
+    Python workers outlive their tasks; without this each keeps the peak of
+    every operator it has ever run.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped

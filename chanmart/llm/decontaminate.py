@@ -21,15 +21,13 @@ rows, or no hits.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chanmart.llm.common import byte_texts, prepare, replaced
+from chanmart.llm.common import byte_texts, prepare, replaced, staged, tidy
 from chanmart.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -94,7 +92,9 @@ def _pack(sequence: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return packed, origin
 
 
-SPAN = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
+SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
+#: Result columns.
+FOUND = (("n_words", T.LongType()), ("hit_spans", SPANS), ("hit_items", T.ArrayType(T.LongType())))
 
 
 def _search(batch_texts: list[bytes], windows: Windows):
@@ -132,7 +132,8 @@ def _item_blocks(benchmark: DataFrame, text_col: str, id_col: str, block_bytes:
     blocks = max(1, -(-total // block_bytes))
     for b in range(blocks):
         rows = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield [(r["item_id"], r["text"].encode()) for r in rows.collect()]  # a block's bytes are bounded
+        # a block's bytes are bounded; it is read when its pass is made
+        yield lambda rows=rows: [(r["item_id"], r["text"].encode()) for r in rows.collect()]
 
 
 def find_contamination(
@@ -150,15 +151,23 @@ def find_contamination(
     items each block is one more narrow pass, and spans are united per row.
     """
     prepare(docs.sparkSession)
+    return _passes(docs, benchmark, window, text_col, item_col, item_text_col, block_bytes, cut=False)
+
+
+def _passes(docs, benchmark, window, text_col, item_col, item_text_col, block_bytes, cut: bool) -> DataFrame:
+    """One pass per block of items; with ``cut`` the last one cuts the spans out and returns the columns of ``docs``."""
     sc = docs.sparkSession.sparkContext
-    out = docs.drop("n_words", "hit_spans", "hit_items")
-    names = out.columns
-    schema = T.StructType([*out.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("hit_spans", SPAN), T.StructField("hit_items", T.ArrayType(T.LongType()))])
-    for number, block in enumerate(_item_blocks(benchmark, item_text_col, item_col, block_bytes)):
-        windows = sc.broadcast(block)
-
-        def scan(batches, windows=windows, first=number == 0):
-            search = Windows(windows.value, window)
+    out = docs if cut else docs.drop(*(n for n, _ in FOUND))
+    names, plain = out.columns, out.schema
+    found_schema = T.StructType([*plain.fields, *(T.StructField(f"__{n}" if cut else n, t) for n, t in FOUND)])
+    blocks = list(_item_blocks(benchmark, item_text_col, item_col, block_bytes))
+    for number, block in enumerate(blocks):
+        sent = sc.broadcast(block())
+        first, last = number == 0, number == len(blocks) - 1
+
+        @tidy
+        def scan(batches, sent=sent, first=first, last=last):
+            search = Windows(sent.value, window)
             for batch in batches:
                 column = batch.column(batch.schema.get_field_index(text_col))
                 counts, spans, items = _search(byte_texts(column), search)
@@ -167,17 +176,20 @@ def find_contamination(
                 if not first:
                     found_spans = [_union(a, [(x["first"], x["last"]) for x in b]) for a, b in zip(found_spans, batch.column(len(names) + 1).to_pylist())]
                     found_items = [a | set(b) for a, b in zip(found_items, batch.column(len(names) + 2).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.columns[: len(names)],
-                        pa.array(counts, pa.int64()),
-                        pa.array([[{"first": a, "last": b} for a, b in s] for s in found_spans], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-                        pa.array([sorted(s) for s in found_items], pa.list_(pa.int64())),
-                    ],
-                    names=[*names, "n_words", "hit_spans", "hit_items"],
-                )
-
-        out = out.mapInArrow(scan, schema)
+                if cut and last:
+                    texts = [without_spans(t, s) if s else t for t, s in zip(column.cast(pa.large_binary()).to_pylist(), found_spans)]
+                    yield replaced(batch.select(names), text_col, pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+                    continue
+                results = [
+                    pa.array(counts, pa.int64()),
+                    pa.array([[{"first": a, "last": b} for a, b in s] for s in found_spans], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
+                    pa.array([sorted(s) for s in found_items], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *results], names=found_schema.names)
+
+        out = out.mapInArrow(scan, plain if cut and last else found_schema)
+        if not last:
+            out = staged(out, "decontamination-pass")  # one Python worker a task, however many passes
     return out
 
 
@@ -203,24 +215,18 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*keep, text[at:]])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", **options) -> DataFrame:
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """The documents with every hit span cut out of the text; the columns of ``docs``, all rows kept."""
-    names = docs.columns
-    found = find_contamination(docs, benchmark, window, text_col, **options)
-
-    def cut(batches):
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text_col))
-            texts = column.cast(pa.large_binary()).to_pylist()
-            spans = batch.column(batch.schema.get_field_index("hit_spans")).to_pylist()
-            texts = [without_spans(t, [(x["first"], x["last"]) for x in s]) if s else t for t, s in zip(texts, spans)]
-            yield replaced(batch, text_col, pa.array(texts, pa.large_binary()).cast(pa.large_string())).select(names)
-
-    return found.mapInArrow(cut, docs.schema)
-
-
-def _items_digest(items) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+    prepare(docs.sparkSession)
+    return _passes(docs, benchmark, window, text_col, item_col, item_text_col, block_bytes, cut=True)
 
 
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

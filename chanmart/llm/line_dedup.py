@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chanmart.llm import bloom
-from chanmart.llm.common import byte_texts, prepare, replaced, staged
+from chanmart.llm.common import byte_texts, prepare, replaced, staged, tidy
 
 BLANKS = b" \t\n\x0b\x0c\r"
 FILTER_BITS = 1 << 26
@@ -66,6 +66,7 @@ def repeated_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, text_col:
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
 
+    @tidy
     def sketch(batches):
         seen = bloom.SeenTwice(bits)
         for batch in batches:
@@ -78,6 +79,7 @@ def repeated_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, text_col:
 
     twice = spark.sparkContext.broadcast(bloom.merged_twice(texts.mapInArrow(sketch, bloom.SLICES), bits))
 
+    @tidy
     def count(batches):
         counts: dict[bytes, int] = {}
 
@@ -148,6 +150,7 @@ def _with_counts(batch, text_col, results, was_null):
 
 
 def _apply(docs: DataFrame, text_col: str, hot_of) -> DataFrame:
+    @tidy
     def strip(batches):
         hot = hot_of()
         for batch in batches:
@@ -195,6 +198,7 @@ def _apply_joined(docs, hot, min_chars, keep_first, text_col, id_col) -> DataFra
     joined = docs.join(per_row, key == F.col("__key"), "left").drop("__key")
     names = docs.columns
 
+    @tidy
     def strip(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanmart.llm import bloom
-from chanmart.llm.common import byte_texts, prepare, staged
+from chanmart.llm.common import byte_texts, prepare, staged, tidy
 from chanmart.llm.decontaminate import words
 from chanmart.llm.packing import _few
 
@@ -54,7 +54,6 @@ BUCKET_ROWS = 1000
 MEMBERS_BITS = 1 << 26
 #: Text bytes whose shingles and darts are held at once.
 CHUNK_BYTES = 1 << 20
-_word_hash: dict[bytes, int] = {}
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -65,14 +64,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def unit_elements(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' unit regions (shingle, copy number), sorted within a text, and each one's text."""
-    if len(_word_hash) > 500_000:
-        _word_hash.clear()
     split = [words(t) for t in texts]
-    for w in set().union(*split) if split else ():
-        if w not in _word_hash:
-            _word_hash[w] = xxhash.xxh3_64_intdigest(w)
+    word_hash = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*split)}
     counts = np.fromiter(map(len, split), np.int64, len(split))
-    h = np.fromiter(map(_word_hash.__getitem__, chain.from_iterable(split)), np.uint64, int(counts.sum()))
+    h = np.fromiter(map(word_hash.__getitem__, chain.from_iterable(split)), np.uint64, int(counts.sum()))
     doc = np.repeat(np.arange(len(texts)), counts)
     total = len(h)
     left = np.repeat(np.cumsum(counts), counts) - np.arange(total)  # words from here to the text's end
@@ -148,6 +143,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per document: id, fingerprint of its weighted set (NULL without words) and band keys."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             raw = byte_texts(batch.column(1))
@@ -221,6 +217,7 @@ def _elements_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
     """id and unit regions of the documents in ``members``; texts that can't be one aren't shuffled."""
     sent = ids_filter(members, "id")
 
+    @tidy
     def run(batches):
         for batch in batches:
             batch = batch.filter(pa.array(maybe_in(sent, batch.column(0))))

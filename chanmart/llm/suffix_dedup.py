@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chanmart.llm import bloom
-from chanmart.llm.common import byte_texts, prepare, staged
+from chanmart.llm.common import byte_texts, prepare, staged, tidy
 from chanmart.llm.packing import _few
 
 LENGTH = 200
@@ -332,6 +332,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
 
+    @tidy
     def sketch(batches):
         seen = bloom.SeenTwice(bits)
         for batch in batches:
@@ -347,6 +348,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
     buckets = max(64, -(-total // bucket_bytes))
     before = length - gram
 
+    @tidy
     def runs(batches):
         held: dict[int, dict] = {}
         n = 0
@@ -432,6 +434,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, te
     names = docs.columns
     spans = staged(repeated_spans(docs, length, gram, text_col, bits, bucket_bytes), "repeated-spans")
 
+    @tidy
     def add(batches):
         seen = bloom.SeenTwice(bits)
         for batch in batches:
@@ -450,6 +453,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, te
         columns = [pa.array(kept, pa.binary()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int64()), pa.array([len(s) for s in found], pa.int64())]
         return pa.RecordBatch.from_arrays([*batch.select(names).columns, *columns], names=[*names, "kept", "n_bytes", "n_removed", "n_spans"])
 
+    @tidy
     def untouched(batches):
         for batch in batches:
             texts = byte_texts(batch.column(batch.schema.get_field_index(text_col)))
@@ -457,12 +461,14 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, te
             texts = [texts[i] for i in rows]
             yield with_result(batch.take(pa.array(rows, pa.int64())), texts, [[] for _ in texts])
 
+    @tidy
     def touched(batches):
         for batch in batches:
             digests = [_digest(t) for t in byte_texts(batch.column(batch.schema.get_field_index(text_col)))]
             rows = pa.array(np.flatnonzero(bloom.probe(sent.value, _digest_hash(digests), bits)) if digests else [], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.take(rows).columns, pa.array(digests, pa.binary()).take(rows)], names=[*names, "__digest"])
 
+    @tidy
     def cut(batches):
         for batch in batches:
             texts = byte_texts(batch.column(batch.schema.get_field_index(text_col)))

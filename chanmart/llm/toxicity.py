@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chanmart.llm.common import byte_texts, crc32_of_id, prepare
+from chanmart.llm.common import byte_texts, crc32_of_id, prepare, tidy
 
 TRAIN_ROWS = 20_000
 FEATURES = 4096
@@ -82,7 +82,7 @@ class Scorer:
 
     def features(self, words: set[str]) -> set[int]:
         memo = self.memo
-        if len(memo) > 500_000:
+        if len(memo) > 150_000:
             memo.clear()
         out: set[int] = set()
         for w in words:
@@ -156,6 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features:
         if not 0 < positive < n:
             return {}, math.log((positive + 0.5) / (n - positive + 0.5))
 
+        @tidy
         def spread(batches):
             counts: dict[str, list[int]] = {}
             for batch in batches:
@@ -174,6 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features:
         vocabulary = [r["f"] for r in chosen.select("f").collect()]  # at most ``features``
         terms = sample.sparkSession.sparkContext.broadcast(vocabulary)
 
+        @tidy
         def encode(batches):
             scorer = Scorer(dict.fromkeys(terms.value, 0.0), 0.0)
             for batch in batches:
@@ -199,6 +201,7 @@ def score_toxicity(docs: DataFrame, model: tuple[dict[str, float], float], text_
     docs = docs.drop(score_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def score(batches):
         scorer = Scorer(*sent.value)
         for batch in batches:
