@@ -111,6 +111,7 @@ def main(argv=None) -> int:
         detector = _detector(args.detector) if args.detector else None
         result = P.run_pipeline(spark, args.lake, args.images, args.root, detector, args.as_of, dates=dates)
         print(json.dumps(result, default=str))
+        return 0 if all(c["passed"] for c in result["checks"]) else 1
     elif args.cmd == "report":
         fct = TB.read_table(spark, args.root, TB.FCT_MESSAGES)
         if args.name == "search":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,9 +27,12 @@ def is_product_word(word: Column) -> Column:
 def contains_ci(text: Column, query: str) -> Column:
     """Case-insensitive substring match with ILIKE semantics.
 
-    The query is used as given: ``%`` and ``_`` in it stay wildcards and ``\\``
-    escapes, exactly as a ``%query%`` ILIKE pattern behaves.
+    ``%`` and ``_`` in the query stay wildcards and ``\\`` escapes, as in a
+    ``%query%`` ILIKE pattern.  A backslash before any other character stands
+    for that character alone; Spark's pattern refuses one there, so it is
+    dropped.
     """
+    query = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], query, flags=re.DOTALL)
     return text.ilike(f"%{query}%")
 
 

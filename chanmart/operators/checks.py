@@ -35,8 +35,12 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_relationship(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL ``column`` has no match in ``parent``."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    """Child rows whose non-NULL ``column`` has no match in ``parent``.
+
+    The anti-join needs no ``distinct`` on the parent's keys, and without an
+    aggregate between shuffle and join a hot key's partition can be split.
+    """
+    keys = parent.select(F.col(parent_column).alias(column))
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti").select(*child.columns)
 
 
