@@ -19,8 +19,11 @@ components only, so a group of copies costs about one comparison each, and the
 links returned are a star per component.  A bucket of more than
 ``BUCKET_ROWS`` members is split by a hash; one leader of each part's
 components meets the other parts' leaders in a next level, as long as levels
-shrink.  Components of all links are found by repeated smallest-label joins,
-written down each round.
+shrink.  Then the members outside the bucket's largest component so far are
+compared, block by block, with all members of other components, so no link of
+the bucket is lost, and a bucket that is one component costs nothing more.
+Components of all links are found by repeated smallest-label joins, written
+down each round.
 
 Defined cases: texts of one to four words are one shingle; NULL, empty and
 wordless texts are linked to nothing, rows with a
@@ -192,6 +195,28 @@ def _link(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array([key[0].as_py()] * len(ids), pa.int64()), "leader": pa.array([ids[i] for i in first], pa.int64()), "id": pa.array(ids, pa.int64())})
 
 
+def _link_across(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """One link from each outside member to each other label that has a member alike."""
+    outside = rows.column("outside").to_numpy(zero_copy_only=False)
+    ids, labels = rows.column("id").to_numpy(), rows.column("label").to_numpy()
+    elements = [np.frombuffer(x, np.uint64) for x in rows.column("elements").to_pylist()]
+    sizes = np.fromiter(map(len, elements), np.int64, len(elements))
+    starts = np.cumsum(sizes) - sizes
+    known, place = np.unique(np.concatenate(elements), return_inverse=True)
+    mark = np.zeros(len(known), bool)
+    leaders, linked = [], []
+    for i in np.flatnonzero(outside).tolist():
+        mine = place[starts[i] : starts[i] + sizes[i]]
+        mark[mine] = True
+        both = np.add.reduceat(mark[place], starts, dtype=np.int64)
+        mark[mine] = False
+        alike = np.flatnonzero((both / (sizes + sizes[i] - both) >= SIMILARITY) & ~outside & (labels != labels[i]))
+        for j in alike[np.unique(labels[alike], return_index=True)[1]].tolist():
+            leaders.append(int(min(ids[i], ids[j])))
+            linked.append(int(max(ids[i], ids[j])))
+    return pa.table({"leader": pa.array(leaders, pa.int64()), "id": pa.array(linked, pa.int64())})
+
+
 def ids_filter(ids: DataFrame, id_col: str):
     """A broadcast Bloom filter of fixed size over ids; a test for Arrow batches of them."""
 
@@ -239,6 +264,7 @@ def links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str, buck
     buckets = staged(sizes.filter("n > 1").groupBy("n", "members", "check").agg(F.min("key").alias("key")).select("key", "n"), "near-buckets")
     members = staged(banded.join(buckets, "key").select("key", "id", "n"), "near-members")
     elements = staged(_elements_of(docs, members, id_col, text_col).dropDuplicates(["id"]), "near-elements")
+    large = members.filter(F.col("n") > bucket_rows).select("key", "id")
     found, level, before = None, 0, None
     while True:
         part = F.pmod(F.xxhash64("id", F.lit(level)), F.ceil(F.col("n") / bucket_rows).cast("long"))
@@ -252,8 +278,41 @@ def links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str, buck
         members = staged(leaders.join(n, "key").select("key", "id", "n"), "near-members")
         left = members.count()
         if left == 0 or (before is not None and left > 0.9 * before):
-            return found
+            break
         before, level = left, level + 1
+    if large.limit(1).count() == 0:
+        return found
+    return found.unionByName(links_across(large, components(found), elements, bucket_rows))
+
+
+def links_across(large: DataFrame, labels: DataFrame, elements: DataFrame, bucket_rows: int) -> DataFrame:
+    """The links of split buckets (key, id) between members whose labels still differ.
+
+    Any such pair has a member outside the bucket's largest component.  Those
+    outside are dealt to blocks, all members to parts, and each block meets
+    each part; a group holds about ``bucket_rows`` of either.
+    """
+    labelled = large.join(labels.select("id", "label"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    labelled = staged(labelled, "near-large")
+    sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    buckets = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("most"), F.sum("c").alias("n")).filter("n > most.c")
+    buckets = buckets.select(
+        "key",
+        F.col("most.label").alias("largest"),
+        F.ceil((F.col("n") - F.col("most.c")) / bucket_rows).cast("int").alias("blocks"),
+        F.ceil(F.col("n") / bucket_rows).cast("int").alias("parts"),
+    )
+    dealt = labelled.join(staged(buckets, "near-open"), "key")
+    block = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts")).cast("int")
+    outside = dealt.filter("label <> largest").select(
+        "key", "id", "label", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("outside")
+    )
+    others = dealt.select(
+        "key", "id", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part.alias("part"), F.lit(False).alias("outside")
+    )
+    met = outside.unionByName(others).join(elements, "id").groupBy("key", "block", "part")
+    return staged(met.applyInArrow(_link_across, "leader long, id long"), "near-links")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -398,3 +398,38 @@ def test_empty_tables(spark):
     assert suffix_dedup.dedup_substrings(empty, bits=1 << 20).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert revisits.resolve_revisits(revisits.crawl_records(pages)).count() == 0
+
+
+def test_near_duplicates_lose_no_link_in_split_buckets(spark):
+    """A chain of texts, each like its neighbours only, in buckets far larger than a part."""
+    rng = np.random.default_rng(41)
+    line = [f"w{x}" for x in rng.integers(0, 10**6, 700)]
+    rows = [(i, " ".join(line[4 * i : 4 * i + 100])) for i in range(150)]
+    rows += [(1000 + i, " ".join(f"x{x}" for x in rng.integers(0, 10**6, 60))) for i in range(20)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicate_classes(docs(spark, rows), bucket_rows=2).collect()}
+    assert got == {i: 0 if i < 1000 else i for i, _ in rows}
+
+
+def test_links_across_meet_every_pair_of_different_labels(spark):
+    rng = np.random.default_rng(42)
+    bases = [rng.integers(0, 2**63, 90, dtype=np.uint64) for _ in range(3)]
+    elements = {}
+    for i in range(60):
+        e = bases[i % 3].copy()
+        e[rng.integers(0, 90, int(rng.integers(0, 18)))] = rng.integers(0, 2**63, dtype=np.uint64)
+        elements[i] = np.unique(e)
+    label = {i: i if i % 7 else 0 for i in elements}
+    frame = spark.createDataFrame([(i, e.tobytes()) for i, e in elements.items()], "id long, elements binary")
+    large = spark.createDataFrame([(5, i) for i in elements], "key long, id long")
+    labels = spark.createDataFrame(list(label.items()), "id long, label long")
+    found = {(r["leader"], r["id"]) for r in near_dup.links_across(large, labels, frame, bucket_rows=7).collect()}
+    alike = {(a, b) for a in elements for b in elements if a < b and near_dup.similarity(elements[a], elements[b]) >= near_dup.SIMILARITY}
+    assert found <= alike
+    # one link for each member and other label is enough: the components are those of all links
+    def classes(links):
+        of = {i: label[i] for i in elements}
+        for a, b in links:
+            low, high = sorted((of[a], of[b]))
+            of = {i: low if x == high else x for i, x in of.items()}
+        return of
+    assert classes(found) == classes(alike)
