@@ -22,7 +22,8 @@ MISSING_ID = "missing_id"
 BAD_ID = "bad_id"
 BAD_CHANNEL = "bad_channel"
 NUL_CHAR = "nul_char"
-REJECT_REASONS = (BAD_JSON, NOT_OBJECT, BAD_PEER, MISSING_ID, BAD_ID, BAD_CHANNEL, NUL_CHAR)
+LONE_SURROGATE = "lone_surrogate"
+REJECT_REASONS = (BAD_JSON, NOT_OBJECT, BAD_PEER, MISSING_ID, BAD_ID, BAD_CHANNEL, NUL_CHAR, LONE_SURROGATE)
 
 # Fixed value: the media type name that marks a photo message.
 PHOTO_MEDIA = "MessageMediaPhoto"
@@ -33,8 +34,17 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_variant(value: Column | str) -> Column:
-    """Lenient parse: NULL for text that is not JSON (incl. NaN, empty)."""
-    return F.try_parse_json(_col(value))
+    """Lenient parse: NULL for text that is not one JSON value (incl. NaN, empty, text after the value).
+
+    ``try_parse_json`` stops at the end of the first value.  What may follow
+    a value inside an array and inside an object has nothing but white space in
+    common (after a comma, one asks for a value, the other for a name and a
+    colon), so a text that parses within both is one value and nothing else.
+    """
+    value = _col(value)
+    in_array = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
+    return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
 
 
 def with_parsed(df, text_col: str, alias: str = "_doc", lenient: bool = True, keep=None):
@@ -43,9 +53,9 @@ def with_parsed(df, text_col: str, alias: str = "_doc", lenient: bool = True, ke
     The parse is emitted as a one-element generator (``explode(array(..))``):
     filters on fields derived from the variant are then evaluated above the
     generator and cannot be pushed below it, which would inline (and repeat)
-    the parse in every predicate.  Each row's text is parsed exactly once.
+    the parse in every predicate.
     """
-    parse = F.try_parse_json(F.col(text_col)) if lenient else F.parse_json(F.col(text_col))
+    parse = parse_variant(text_col) if lenient else F.parse_json(F.col(text_col))
     cols = list(keep) if keep is not None else [c for c in df.columns]
     return df.select(*cols, F.explode(F.array(parse)).alias(alias))
 
@@ -115,6 +125,16 @@ def has_nul_escape(text: Column) -> Column:
     return F.contains(text, F.lit("\\u0000")) & text.rlike(_NUL_ESCAPE)
 
 
+# An escaped backslash or a whole escaped surrogate pair; any escaped surrogate.
+_BACKSLASH_OR_PAIR = r"\\\\|\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+_SURROGATE = r"\\u[dD][89a-fA-F][0-9a-fA-F]{2}"
+
+
+def has_lone_surrogate(text: Column) -> Column:
+    """True when JSON text holds half of a surrogate pair (a regex over the text gates the removal of whole pairs)."""
+    return text.rlike(_SURROGATE) & F.regexp_replace(text, _BACKSLASH_OR_PAIR, " ").rlike(_SURROGATE)
+
+
 def reject_reason(v: Column, text: Column | None = None) -> Column:
     """Why a raw file cannot be loaded, or NULL when it can.
 
@@ -122,8 +142,8 @@ def reject_reason(v: Column, text: Column | None = None) -> Column:
     parsed once) and ``text`` its JSON text (default: ``v`` re-serialised).
     Precedence follows the loader: undecodable JSON, then a root or
     ``peer_id`` that is not an object, then a falsy ``id``, then values the
-    raw table's BIGINT columns refuse, then NUL characters (rejected by the
-    JSON column type).
+    raw table's BIGINT columns refuse, then NUL characters and halves of
+    surrogate pairs (rejected by the JSON column type).
     """
     text = v.cast("string") if text is None else text
     channel_t = variant_type(v, "$.peer_id.channel_id")
@@ -138,6 +158,7 @@ def reject_reason(v: Column, text: Column | None = None) -> Column:
         .when(~_is_integer_value(v, "$.id"), F.lit(BAD_ID))
         .when(~channel_ok, F.lit(BAD_CHANNEL))
         .when(has_nul_escape(text), F.lit(NUL_CHAR))
+        .when(has_lone_surrogate(text), F.lit(LONE_SURROGATE))
     )
 
 
@@ -161,3 +182,9 @@ def channel_field(v: Column) -> Column:
 def json_text(doc: Column, path: str) -> Column:
     """``->>``: text at ``path`` of a parsed document; NULL for absent or JSON null."""
     return F.variant_get(doc, path, "string")
+
+
+def strict_cast(text: Column, type_name: str) -> Column:
+    """Cast that fails on text that is no such value, whatever the session's ANSI setting; NULL stays NULL."""
+    failed = F.raise_error(F.concat(F.lit(f"not a {type_name}: "), text)).cast(type_name)
+    return F.coalesce(text.try_cast(type_name), F.when(text.isNotNull(), failed))

@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanmart.schemas import DETECTOR_OUTPUT_DDL
+from chanmart.sources.lake import file_at
 
 # Fixed value: the message id is the image file's stem (``12345.jpg``).
 STEM_PATTERN = r"([^/]+)\.[^./]+$"
 
+# Fixed value: the error of an image whose file name is no message id.
+BAD_IMAGE_NAME = "bad_image_name"
+
 # A detector takes (image_path, image_bytes) and returns boxes as
 # (class_name, confidence, [x1, y1, x2, y2]) tuples.
 Detector = Callable[[str, bytes], Iterable[tuple]]
@@ -36,14 +40,8 @@ def unprocessed_images(images: DataFrame, detections: DataFrame, path_col: str =
 
 
 def read_file_bytes(uri: str) -> bytes:
-    """Bytes of one file, on the executor (local paths, file: URIs, or any pyarrow filesystem)."""
-    from pyarrow import fs as pafs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        uri = "file://" + uri
-    elif uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:") :]
-    filesystem, path = pafs.FileSystem.from_uri(uri)
+    """Bytes of one file, on the executor (local paths, file: paths as Spark writes them, or any pyarrow filesystem)."""
+    filesystem, path = file_at(uri)
     with filesystem.open_input_file(path) as f:
         return f.read()
 
@@ -99,7 +97,7 @@ def detection_errors(detector_output: DataFrame) -> DataFrame:
     bad_stem = image_message_id(F.col("image_path")).isNull()
     return (
         detector_output.filter(F.col("error").isNotNull() | bad_stem)
-        .select("image_path", F.coalesce(F.col("error"), F.lit("bad_image_name")).alias("error"))
+        .select("image_path", F.coalesce(F.col("error"), F.lit(BAD_IMAGE_NAME)).alias("error"))
         .distinct()
     )
 

@@ -1,7 +1,7 @@
 """Independent DuckDB SQL for every registered query.
 
-These read the base tables directly (no JSON round trip): a message is a
-document joined to its event, a detection is an embedding row.  Parameters
+These read the base tables directly (no JSON round trip): a message is an
+event with its document, if any, a detection is an embedding row.  Parameters
 match ``chanmart.plans.registered``.
 """
 
@@ -10,6 +10,11 @@ from __future__ import annotations
 from chanmart.plans import registered as Q
 
 _BASE = f"""
+messages AS (
+  SELECT event_id AS doc_id, ts, user_id, event_type, text, n_chars,
+         coalesce(source, concat('src', user_id % 20)) AS source
+  FROM events LEFT JOIN documents ON doc_id = event_id
+),
 stg AS (
   SELECT doc_id AS message_id,
          1000 + CAST(substr(source, 4) AS BIGINT) AS channel_id,
@@ -19,7 +24,7 @@ stg AS (
          CASE WHEN event_type <> 'error' THEN user_id END AS sender_user_id,
          CASE WHEN event_type IN ('view', 'purchase') THEN true
               WHEN event_type = 'click' THEN false END AS has_photo
-  FROM documents JOIN events ON doc_id = event_id
+  FROM messages
   WHERE doc_id <> 0
 ),
 first_day AS (SELECT min(CAST(message_posted_at AS DATE)) AS d0 FROM stg),
@@ -63,7 +68,7 @@ files AS (
   SELECT concat('telegram_messages/', substr(CAST(ts AS VARCHAR), 1, 10), '/', source, '/', doc_id, '.json')
            AS file_path,
          doc_id, 1000 + CAST(substr(source, 4) AS BIGINT) AS channel_id, ts, event_type
-  FROM documents JOIN events ON doc_id = event_id
+  FROM messages
 )
 """
 
@@ -72,6 +77,7 @@ def _q(body: str) -> str:
     return "WITH" + _BASE + body
 
 
+# Fixed value: the words never counted as a product mention.
 STOP = "('and', 'the', 'for', 'with', 'http', 'https', 't.me')"
 
 ORACLE_SQL = {
@@ -90,6 +96,29 @@ ORACLE_SQL = {
         "SELECT detection_id, message_id, channel_id, date_day, detected_object_class, "
         "CAST(confidence_score AS DOUBLE) AS confidence_score, bounding_box, image_path FROM fdet"
     ),
+    "dim_dates_full": _q("SELECT * FROM dd").replace(f"DATE '{Q.AS_OF}'", f"DATE '{Q.AS_OF_FULL}'"),
+    "json_reject_reasons": _q(
+        ", planted AS (SELECT file_path, CASE doc_id % 12 WHEN 1 THEN 'bad_json' WHEN 2 THEN 'not_object' "
+        "WHEN 3 THEN 'bad_peer' WHEN 4 THEN 'missing_id' WHEN 5 THEN 'bad_id' WHEN 6 THEN 'bad_channel' "
+        "WHEN 7 THEN 'nul_char' WHEN 8 THEN 'lone_surrogate' WHEN 9 THEN 'bad_json' "
+        "ELSE CASE WHEN doc_id = 0 THEN 'missing_id' END END AS reject_reason FROM files) "
+        "SELECT * FROM planted WHERE reject_reason IS NOT NULL"
+    ),
+    "filter_channels": _q(
+        f"SELECT message_id, channel_id, 'list' AS allowed_by FROM stg WHERE channel_id IN {Q.ALLOWED_CHANNELS} "
+        "UNION ALL SELECT message_id, channel_id, 'frame' FROM stg WHERE channel_id IN "
+        "(SELECT 1000 + n_nationkey FROM nation WHERE n_regionkey = 1)"
+    ),
+    "image_message_id": _q(
+        "SELECT concat('images/', substr(CAST(ts AS VARCHAR), 1, 10), '/', CASE WHEN doc_id % 7 = 3 THEN 'cover_' ELSE '' END, "
+        "doc_id, '.jpg') AS image_path, CASE WHEN doc_id % 7 <> 3 THEN doc_id END AS message_id "
+        "FROM files WHERE event_type IN ('view', 'purchase')"
+    ),
+    "search_messages_wildcard": _q(
+        "SELECT message_id, message_text, channel_id, message_posted_at FROM fct "
+        "WHERE message_text ILIKE '%t_e%ar%' "
+        "ORDER BY message_posted_at DESC NULLS FIRST, message_id LIMIT 100"
+    ),
     "search_messages": _q(
         "SELECT message_id, message_text, channel_id, message_posted_at FROM fct "
         f"WHERE message_text ILIKE '%{Q.SEARCH_TERM}%' "

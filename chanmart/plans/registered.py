@@ -25,15 +25,20 @@ from chanmart.sources import fixtures as FX
 from chanmart.sources import lake as LK
 
 # Query parameters shared with the SQL oracles.
-AS_OF = "2024-01-02"
+AS_OF = "2024-01-20"
+# Past the five-year end of the date spine.
+AS_OF_FULL = "2030-06-30"
 SEARCH_TERM = "the"
+# Means t_e%ar: a backslash before a plain character stands for that character.
+WILDCARD_TERM = "t_e%\\ar"
+ALLOWED_CHANNELS = (1002, 1005, 1011)
 CHANNEL_ID = 1003
 CHANNEL_NAME = "Channel 1007"
 LATEST_N = 25
 # The previous daily run loaded everything dated before this day.
-PREVIOUS_RUN_BEFORE = "2024-01-02"
+PREVIOUS_RUN_BEFORE = "2024-01-15"
 # Photos dated before this day were already downloaded.
-IMAGES_STORED_BEFORE = "2024-01-02"
+IMAGES_STORED_BEFORE = "2024-01-10"
 # The previous detector run reported only classes below this name; this run
 # reports every box again, and boxes of classes from this one on twice.
 PREVIOUS_DETECTOR_CLASSES_BELOW = "class_5"
@@ -122,6 +127,33 @@ def search_messages(spark, sf_dir):
     return R.search_messages(_marts(spark, sf_dir)[2], SEARCH_TERM)
 
 
+def search_messages_wildcard(spark, sf_dir):
+    return R.search_messages(_marts(spark, sf_dir)[2], WILDCARD_TERM)
+
+
+def dim_dates_full(spark, sf_dir):
+    return M.dim_dates(_stg(spark, sf_dir), AS_OF_FULL)
+
+
+def json_reject_reasons(spark, sf_dir):
+    """Every reject reason: faults planted in the message files by message number, found by the loader's rules."""
+    rejects = I.rejected_messages(I.classify_messages(FX.faulty_message_files(spark, sf_dir)))
+    return rejects.select("file_path", "reject_reason")
+
+
+def filter_channels(spark, sf_dir):
+    stg = _stg(spark, sf_dir).select("message_id", "channel_id")
+    nations = FX.read_input(spark, sf_dir, "nation").filter("n_regionkey = 1")
+    frame = nations.select((F.col("n_nationkey") + FX.CHANNEL_BASE).cast("long").alias("allowed"))
+    by_list = L.filter_channels(stg, ALLOWED_CHANNELS).withColumn("allowed_by", F.lit("list"))
+    return by_list.unionByName(L.filter_channels(stg, frame).withColumn("allowed_by", F.lit("frame")))
+
+
+def image_message_id(spark, sf_dir):
+    images = FX.dated_image_files(spark, sf_dir)
+    return images.select("image_path", E.image_message_id(F.col("image_path")).alias("message_id"))
+
+
 def top_products(spark, sf_dir):
     return R.top_products(_marts(spark, sf_dir)[2])
 
@@ -227,6 +259,11 @@ QUERIES = {
     "stg_detections": stg_detections,
     "fct_image_detections": fct_image_detections,
     "search_messages": search_messages,
+    "search_messages_wildcard": search_messages_wildcard,
+    "dim_dates_full": dim_dates_full,
+    "json_reject_reasons": json_reject_reasons,
+    "filter_channels": filter_channels,
+    "image_message_id": image_message_id,
     "top_products": top_products,
     "product_mentions": product_mentions,
     "top_products_rollup": top_products_rollup,

@@ -23,7 +23,7 @@ def stg_telegram_messages(raw_messages: DataFrame, carry=()) -> DataFrame:
     """One typed row per raw message.
 
     ``raw_data`` is parsed once per row into a variant and every field is
-    read from it.  Casts are strict (ANSI): text that is not a number or a
+    read from it.  Casts are strict under any ANSI setting: text that is not a number or a
     timestamp fails the build, as the warehouse's casts do.  The ``date``
     text carries an offset; casting to TIMESTAMP_NTZ keeps the wall time and
     drops the offset.  ``has_photo`` is NULL, not false, when media is absent.
@@ -32,12 +32,12 @@ def stg_telegram_messages(raw_messages: DataFrame, carry=()) -> DataFrame:
     parsed = J.with_parsed(raw_messages, "raw_data", lenient=False, keep=["loaded_at", *carry])
     doc = F.col("_doc")
     return parsed.select(
-        J.json_text(doc, "$.id").cast("bigint").alias("message_id"),
-        J.json_text(doc, "$.peer_id.channel_id").cast("bigint").alias("channel_id"),
-        J.json_text(doc, "$.date").cast("timestamp_ntz").alias("message_posted_at"),
+        J.strict_cast(J.json_text(doc, "$.id"), "bigint").alias("message_id"),
+        J.strict_cast(J.json_text(doc, "$.peer_id.channel_id"), "bigint").alias("channel_id"),
+        J.strict_cast(J.json_text(doc, "$.date"), "timestamp_ntz").alias("message_posted_at"),
         J.json_text(doc, "$.message").alias("message_text"),
-        J.json_text(doc, "$.views").cast("int").alias("view_count"),
-        J.json_text(doc, "$.from_id.user_id").cast("bigint").alias("sender_user_id"),
+        J.strict_cast(J.json_text(doc, "$.views"), "int").alias("view_count"),
+        J.strict_cast(J.json_text(doc, "$.from_id.user_id"), "bigint").alias("sender_user_id"),
         (J.json_text(doc, "$.media._") == F.lit(J.PHOTO_MEDIA)).alias("has_photo"),
         "loaded_at",
         *carry,

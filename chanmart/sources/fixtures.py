@@ -1,8 +1,10 @@
 """Adapter from the generated test tables to this warehouse's raw inputs.
 
-A document is a message: its ``source`` (``srcN``) is the channel (id
-1000 + N), the event with the same number gives the post time, the sender
-and the media type.  Each becomes the JSON text of one message file at
+An event is a message: it gives the post time, the sender and the media
+type; the document with the same number gives text, length and channel
+(``srcN``: id 1000 + N).  An event without a document is a message without
+text (a service message), in channel ``user_id % 20``.  Each becomes the JSON
+text of one message file at
 ``telegram_messages/<date>/<channel>/<id>.json``.  Embedding rows are
 detector boxes: row ``v`` is a box of message ``v DIV 2``.
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chanmart.sources.lake import image_file_path
 from chanmart.sources.tables import read_input
 
 # Event types that mean "photo attached" / "web page attached",
@@ -23,6 +26,7 @@ PHOTO_EVENTS = ("view", "purchase")
 WEBPAGE_EVENTS = ("click",)
 NO_SENDER_EVENT = "error"
 CHANNEL_BASE = 1000
+SERVICE_CHANNELS = 20
 
 
 def channel_of_source(source):
@@ -35,14 +39,16 @@ def _ts_text(ts, n: int):
 
 
 def message_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents joined to events: one row per message with its event fields."""
-    docs = read_input(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    """Every event with its document's fields (NULL text without one)."""
+    docs = read_input(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text", "source", "n_chars")
     events = read_input(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return docs.join(events, docs.doc_id == events.event_id, "inner")
+    joined = events.join(docs, "event_id", "left")
+    service = F.concat(F.lit("src"), (F.col("user_id") % SERVICE_CHANNELS).cast("string"))
+    return joined.withColumnRenamed("event_id", "doc_id").withColumn("source", F.coalesce("source", service))
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file_path, value): one raw message file per document, as the lake holds them."""
+    """(file_path, value): one raw message file per event, as the lake holds them."""
     m = message_events(spark, sf_dir)
     channel = channel_of_source(m.source)
     payload = F.struct(
@@ -87,3 +93,36 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.filter(m.event_type.isin(*PHOTO_EVENTS)).select(
         F.concat(F.lit("images/"), m.doc_id.cast("string"), F.lit(".jpg")).alias("path")
     )
+
+
+def faulty_message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message files with one fault each, by message number modulo 12; 0, 10 and 11 stay loadable."""
+    files = message_files(spark, sf_dir)
+    number = F.regexp_extract("file_path", r"/(\d+)\.json$", 1).cast("bigint")
+    value = F.col("value")
+    own_id = F.concat(F.lit('"id":'), number.cast("string"), F.lit(","))
+    rest = F.expr("substring(value, 2)")
+    broken = {
+        1: F.concat(value, F.lit(' {"id":1}')),
+        2: F.concat(F.lit("["), value, F.lit("]")),
+        3: F.replace(value, F.lit('"peer_id":{'), F.lit('"peer_id":"x","peer":{')),
+        4: F.replace(value, own_id, F.lit('"id":0,')),
+        5: F.replace(value, own_id, F.lit('"id":1.5,')),
+        6: F.regexp_replace(value, r'"channel_id":\d+', '"channel_id":"abc"'),
+        7: F.concat(F.lit('{"x":"a\\u0000",'), rest),
+        8: F.concat(F.lit('{"x":"\\ud83d\\\\\\ude00",'), rest),
+        9: F.expr("substring(value, 1, length(value) - 1)"),
+        10: F.concat(F.lit('{"x":"\\ud83d\\ude00 \\\\ud83d",'), rest),
+    }
+    fault = F.pmod(number, F.lit(12))
+    planted = value
+    for k, text in broken.items():
+        planted = F.when(fault == k, text).otherwise(planted)
+    return files.select("file_path", planted.alias("value"))
+
+
+def dated_image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image_path): the photo messages' files in the lake's layout, every seventh with a name that is no number."""
+    m = message_events(spark, sf_dir).filter(F.col("event_type").isin(*PHOTO_EVENTS))
+    stem = F.concat(F.when(F.col("doc_id") % 7 == 3, "cover_").otherwise(""), F.col("doc_id").cast("string"))
+    return m.select(image_file_path(_ts_text(m.ts, 10), stem).alias("image_path"))

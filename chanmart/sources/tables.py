@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 RAW_MESSAGES = "raw_messages"
 RAW_REJECTS = "raw_message_rejects"
 RAW_IMAGE_DETECTIONS = "raw_image_detections"
+RAW_IMAGE_FAILURES = "raw_image_failures"
 STG_MESSAGES = "stg_telegram_messages"
 STG_DETECTIONS = "stg_image_detections"
 DIM_CHANNELS = "dim_channels"
@@ -43,6 +44,7 @@ def _declared_schema(name: str):
         RAW_MESSAGES: SC.RAW_MESSAGES,
         RAW_REJECTS: SC.RAW_REJECTS,
         RAW_IMAGE_DETECTIONS: SC.RAW_IMAGE_DETECTIONS,
+        RAW_IMAGE_FAILURES: SC.RAW_IMAGE_FAILURES,
         STG_MESSAGES: SC.STG_MESSAGES,
         FCT_MESSAGES: SC.FCT_MESSAGES,
     }.get(name)
@@ -63,14 +65,22 @@ def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFr
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite", partition_by=None) -> None:
-    writer = df.write.mode(mode)
+    writer = distributed(df, partition_by).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(table_path(root, name))
 
 
-def write_partitions(df: DataFrame, root: str, name: str, partition_by, dynamic: bool) -> None:
-    """Write a partitioned table; with ``dynamic`` only the partitions present in ``df`` are replaced."""
+def distributed(df: DataFrame, partition_by) -> DataFrame:
+    """Rows of one partition folder brought together, so that it holds few files; AQE splits a large folder's rows again."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def write_partitions(df: DataFrame, root: str, name: str, partition_by, dynamic: bool, sort_by=()) -> None:
+    """Write a partitioned table, files sorted by ``sort_by``; with ``dynamic`` only the partitions present in ``df`` are replaced."""
+    df = distributed(df, partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -28,6 +28,17 @@ CASES = [
     ('{"id":1,"message":"a\\u0000b"}', "nul_char", None, None),
     ('{"id":1,"message":"a\\\\\\u0000b"}', "nul_char", None, None),
     ('{"id":1,"message":"a\\\\u0000b"}', None, 1, None),
+    ('{"id":1} garbage', "bad_json", None, None),
+    ('{"id":1}]x', "bad_json", None, None),
+    ('{"id":1}} x', "bad_json", None, None),
+    ('{"id":1},{"id":2}', "bad_json", None, None),
+    ('{"id":1},"a":2', "bad_json", None, None),
+    (' {"id":1}\n', None, 1, None),
+    ('{"id":1,"message":"\\ud83d\\ude00"}', None, 1, None),
+    ('{"id":1,"message":"\\\\ud83d"}', None, 1, None),
+    ('{"id":1,"message":"\\ud83d x"}', "lone_surrogate", None, None),
+    ('{"id":1,"message":"\\ude00\\ud83d"}', "lone_surrogate", None, None),
+    ('{"id":1,"message":"\\ud83d\\\\\\ude00"}', "lone_surrogate", None, None),
     ("[1]", "not_object", None, None),
     ("null", "not_object", None, None),
     ("{bad", "bad_json", None, None),

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from chanmart.session import session_conf
 from chanmart.plans import marts as M
 from chanmart.plans import staging as S
 
@@ -38,8 +39,9 @@ def test_staging_fields(spark):
 
 def test_staging_cast_is_strict(spark):
     raw = _raw(spark, ['{"id":1,"views":"many"}'])
-    with pytest.raises(Exception):
-        S.stg_telegram_messages(raw).collect()
+    for ansi in ("true", "false"):
+        with session_conf(spark, {"spark.sql.ansi.enabled": ansi}), pytest.raises(Exception, match="not a int: many"):
+            S.stg_telegram_messages(raw).collect()
 
 
 def _stg(spark, rows):
