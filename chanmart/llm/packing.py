@@ -34,6 +34,10 @@ GROUP_ROWS = 200_000
 #: Words whose ids a worker remembers; the memory is dropped when it is full.
 CACHE_WORDS = 600_000
 
+#: Words that the tokenizer sees in one call, and the stretch that stands between them there.
+WORDS_A_CALL = 512
+MARK = b"\x01"
+
 _coders: dict[str, "WordCoder"] = {}
 
 
@@ -43,33 +47,56 @@ class WordCoder:
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its stretches one after the other.  Only ASCII blanks
     cut: other spaces stay inside a stretch and are left to the tokenizer.
+
+    New stretches are encoded many at a time with ``MARK`` between them, where
+    that is one token; stretches that hold it go alone.  If the tokenizer
+    lower-cases, A-Z are lowered before the look-up, except in texts with
+    combining marks (U+0300 to U+037F), which compose differently by case.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        mark = self._ids([MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+        letters = bytes(range(0x41, 0x5B)).decode()
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str(letters) == letters.lower()
         self._forget()
 
+    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in encoded]
+
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(1, np.int64)
 
     def _learn(self, new: list[bytes]) -> None:
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, flat])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-        for w in new:
-            self.number[w] = len(self.number)
+        alone = [w for w in new if self.mark is None or MARK in w]
+        apart = set(alone)
+        joined = [w for w in new if w not in apart]
+        between = b" " + MARK + b" "
+        lengths, flat = [], []
+        for ids in self._ids([between.join(joined[i : i + WORDS_A_CALL]) for i in range(0, len(joined), WORDS_A_CALL)]):
+            marks = np.flatnonzero(ids == self.mark)
+            lengths.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
+            flat.append(np.delete(ids, marks))
+        for ids in self._ids(alone):
+            lengths.append(np.array([len(ids)]))
+            flat.append(ids)
+        self.flat = np.concatenate([self.flat, *flat])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(lengths))])
+        self.number.update(zip(joined + alone, range(len(self.number), len(self.number) + len(new))))
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, ``end`` after each, in one array, and where each text begins."""
         if len(self.number) > CACHE_WORDS:
             self._forget()
+        if self.lowers:
+            texts = [t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts]
         split = [t.split() for t in texts]
         new = list({w for ws in split for w in ws}.difference(self.number))
         if new:
