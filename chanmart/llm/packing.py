@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,16 +98,17 @@ class WordCoder:
             self._forget()
         if self.lowers:
             texts = [t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts]
-        split = [t.split() for t in texts]
-        new = list({w for ws in split for w in ws}.difference(self.number))
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        words_before = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        words = byte_texts(coded.dictionary)
+        new = [w for w in words if w not in self.number]
         if new:
             self._learn(new)
-        number = self.number
-        index = np.fromiter((number[w] for ws in split for w in ws), np.int64, sum(map(len, split)))
+        index = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
         lengths = self.start[index + 1] - self.start[index]
         word_ends = np.concatenate([[0], np.cumsum(lengths)])
         flat = self.flat[np.arange(word_ends[-1]) - np.repeat(word_ends[:-1] - self.start[index], lengths)]
-        words_before = np.concatenate([[0], np.cumsum([len(ws) for ws in split])]).astype(np.int64)
         ends = word_ends[words_before[1:]]
         ids = np.insert(flat, ends, np.uint32(end))
         return ids, np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
