@@ -20,6 +20,8 @@ kept; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chanmart.llm.common import byte_texts, prepare, staged
+from chanmart.llm.common import byte_texts, prepare, staged, tidy
 
 CAPACITY = 2048
 END_TOKEN = 0
@@ -35,9 +37,10 @@ GROUP_ROWS = 200_000
 #: Words whose ids a worker remembers; the memory is dropped when it is full.
 CACHE_WORDS = 600_000
 
-#: Words that the tokenizer sees in one call, and the stretch that stands between them there.
-WORDS_A_CALL = 512
+#: Words that the tokenizer sees as one text, the stretch that stands between them there, and texts of one call.
+WORDS_A_TEXT = 512
 MARK = b"\x01"
+TEXTS_A_CALL = 16
 
 _coders: dict[str, "WordCoder"] = {}
 
@@ -56,6 +59,7 @@ class WordCoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of its own each keep memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,8 +71,11 @@ class WordCoder:
         self._forget()
 
     def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in encoded]
+        out = []
+        for i in range(0, len(texts), TEXTS_A_CALL):
+            encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts[i : i + TEXTS_A_CALL]], add_special_tokens=False)
+            out += [np.array(e.ids, np.uint32) for e in encoded]
+        return out
 
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
@@ -81,7 +88,7 @@ class WordCoder:
         joined = [w for w in new if w not in apart]
         between = b" " + MARK + b" "
         lengths, flat = [], []
-        for ids in self._ids([between.join(joined[i : i + WORDS_A_CALL]) for i in range(0, len(joined), WORDS_A_CALL)]):
+        for ids in self._ids([between.join(joined[i : i + WORDS_A_TEXT]) for i in range(0, len(joined), WORDS_A_TEXT)]):
             marks = np.flatnonzero(ids == self.mark)
             lengths.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
             flat.append(np.delete(ids, marks))
@@ -120,7 +127,7 @@ def _coder(path: str) -> WordCoder:
     return _coders[path]
 
 
-def _few(texts: list[bytes], most: int = 4 << 20):
+def _few(texts: list[bytes], most: int = 2 << 20):
     """Ranges of texts of about ``most`` bytes together, so that memory does not follow the batch."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -157,7 +164,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     names=[id_col, "piece", "start", "length", "ids"],
                 )
 
-    return texts.mapInArrow(cut, schema)
+    return texts.mapInArrow(tidy(cut), schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
