@@ -7,6 +7,7 @@ import pytest
 
 from chanmart.operators import reports as R
 from chanmart.plans import jobs as P
+from chanmart.session import checkpoint_dir
 from chanmart.sources import lake as LK
 from chanmart.sources import tables as TB
 from chanmart.streaming.ingest_stream import enrich_stream, ingest_stream
@@ -71,6 +72,29 @@ def test_batch_load_is_idempotent(spark, lake, scratch):
     assert [(r["reject_reason"], r["lake_date"]) for r in rejects] == [("bad_json", "2024-01-02")]
 
 
+def test_failed_load_leaves_no_staging_folder(spark, lake, scratch, monkeypatch):
+    def fail(*args, **kwargs):
+        raise RuntimeError("write refused")
+
+    folder = os.path.join(checkpoint_dir(spark), "chanmart")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    monkeypatch.setattr(TB, "write_table", fail)
+    with pytest.raises(RuntimeError, match="write refused"):
+        P.load_messages(spark, lake, os.path.join(scratch, "wh"))
+    assert set(os.listdir(folder)) <= before
+
+
+def test_load_gives_the_duplicate_key_setting_back(spark, lake, scratch):
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert P.load_messages(spark, lake, os.path.join(scratch, "wh"))["loaded"] == 3
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_ids_stay_unique_across_loads(spark, lake, scratch):
     root = os.path.join(scratch, "wh")
     P.load_messages(spark, lake, root)
