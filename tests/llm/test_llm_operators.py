@@ -70,6 +70,18 @@ def test_packing_keeps_special_strings_and_odd_spaces(spark):
         assert ids[at[i] : at[i + 1]].tolist() == [*plain.encode(t, add_special_tokens=False).ids, 0]
 
 
+def test_word_coder_equals_the_tokenizer_on_marks_blanks_and_combining_letters():
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(3)
+    parts = ["a", "A", "J\u030c", "H\u0331", "\x01", "İ", "Σ", "\u1100", "\u1161", "\u212a", " ", "\n", "\u2003", "\x0b", "'S", "'", "9", "!", "\x00", "\x85", "\u0301"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(5000)] + ["", " ", "\x01", "a \x01 b"]
+    coder, plain = packing.WordCoder(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
+    for _ in range(2):  # learned, then remembered
+        ids, at = coder.encode([t.encode() for t in texts], 0)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
 # --- secrets and personal data ------------------------------------------------
 
 
