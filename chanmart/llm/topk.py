@@ -3,8 +3,9 @@
 Vectors become integers, are range-partitioned and sorted by descending
 length, and written once.  Queries come in blocks of bounded size.  For each
 block the longest vectors of all (a bounded head) give every query a first
-k-th best score; then each task walks its partition from the longest vector
-down: a query leaves the walk when |q| |v| falls below its k-th best score,
+k-th best score; then each task walks its files, each from the longest vector
+down: a query skips a chunk when |q| |v| is below its k-th best score for the
+chunk's longest vector, whatever files the task reads in whatever order,
 and of the rest only pairs whose partial product over the leading rotated
 dimensions plus the product of the residual lengths (Cauchy-Schwarz) reaches
 it are scored.  Scores are integer products, exact; bounds carry a margin for
@@ -120,10 +121,10 @@ class Block:
         self.scores = np.zeros(0, np.int64)
 
     def visit(self, ids: np.ndarray, vectors: np.ndarray, rotate: np.ndarray) -> bool:
-        """Score a chunk of candidates in descending length; False when no query can gain any more."""
-        norms = np.linalg.norm(vectors, axis=1)
-        slack = 1e-9 * self.norms * norms[0] + 1e-6
-        active = np.flatnonzero(self.norms * norms[0] + slack >= self.floor)
+        """Score a chunk of candidates, of any lengths; False when no query can gain from it."""
+        longest = np.linalg.norm(vectors, axis=1).max()
+        slack = 1e-9 * self.norms * longest + 1e-6
+        active = np.flatnonzero(self.norms * longest + slack >= self.floor)
         if not len(active):
             return False
         rotated = vectors @ rotate
@@ -188,13 +189,12 @@ def exact_top_k(
 
         def scan(batches, sent=sent):
             ids, wanted, rotate, floors = sent.value
-            block, going = Block(ids, wanted, rotate, k, floors), len(ids) > 0
-            for batch in batches:
-                if not going:
-                    continue
+            block = Block(ids, wanted, rotate, k, floors)
+            for batch in batches if len(ids) else ():
                 vec_ids, matrix = batch.column(0).to_numpy(), _matrix(batch.column(1), rotate.shape[0])
+                # a task may read several sorted files in any order, so every chunk is asked
                 for i in range(0, len(vec_ids), CHUNK):
-                    going = going and block.visit(vec_ids[i : i + CHUNK], matrix[i : i + CHUNK], rotate)
+                    block.visit(vec_ids[i : i + CHUNK], matrix[i : i + CHUNK], rotate)
             yield pa.RecordBatch.from_arrays([pa.array(block.ids[block.q]), pa.array(block.found), pa.array(block.scores)], names=["query_id", "vec_id", "score"])
 
         results.append(table.select("id", "v").mapInArrow(scan, schema))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chanmart.llm import decontaminate as D
 from chanmart.llm import fm_index, line_dedup, near_dup, native_spans, packing, pii, revisits, secrets, suffix_dedup, topk, toxicity
 from chanmart.llm.common import prepare
+from chanmart.session import session_conf
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "wörd " * 30_000
@@ -169,6 +170,28 @@ def test_top_k_matches_brute_force_with_ties_and_odd_vectors(spark):
         assert list(zip(-got.score, got.vec_id)) == best
 
 
+def test_top_k_scores_longer_vectors_read_after_shorter_ones(spark):
+    """One task reads all sorted files, the larger file of short vectors first."""
+    rng = np.random.default_rng(31)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])]
+    rows += [(i, [0.0, 1000.0, 0.0, 0.0]) for i in range(1, 1001)]
+    rows += [(i, [2.0, 100.0, 0.0, 0.0]) for i in range(1001, 2001)]
+    rows += [(i, [5.0, 0.0, 0.0, 0.0]) for i in range(2001, 3001)]
+    rows += [(i, (rng.random(4) * 0.5).tolist()) for i in range(3001, 9001)]  # incompressible: the largest files
+    rows[1:17] = [(i, [2.0, 2000.0, 0.0, 0.0]) for i in range(1, 17)]  # the head: floors of 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one_task = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with session_conf(spark, one_task):
+        out = topk.exact_top_k(df, df.filter("vec_id = 0"), head_rows=16).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in out] == [(i, 5 * 256 * 256) for i in range(2001, 2006)]
+
+
+def test_top_k_chunk_may_begin_with_a_short_vector():
+    block = topk.Block(np.array([0]), np.array([[1.0, 0.0]]), np.eye(2), 1, np.array([2.0]))
+    assert block.visit(np.array([1, 2]), np.array([[1.0, 0.0], [9.0, 0.0]]), np.eye(2))
+    assert block.found.tolist() == [2]
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_top_k(df, df).count() == 0
