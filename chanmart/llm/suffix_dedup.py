@@ -18,7 +18,12 @@ matter; a pair of Bloom filters finds those (a passing single is harmless).
    every depth which suffixes are equal so far; with the same for the bytes
    before the anchor, read backwards, each suffix learns which of its strings
    of ``length`` bytes occur again;
-4. the covered bytes, by text digest, are united and cut out.  Texts that no
+4. a gram of more than about ``HOT_PLACES`` places takes no part in that: its
+   distinct surroundings are halved by how many bytes of the string lie before
+   the anchor, again and again, each half keyed by the bytes all its strings
+   have, equal surroundings kept once, until a key's group is small
+   (``hot_spans``), so no task holds a group that grows with the input;
+5. the covered bytes, by text digest, are united and cut out.  Texts that no
    span can concern (a Bloom filter of the digests) aren't shuffled.
 
 Places are named by text digest, so exact copies of a text are one place with
@@ -53,6 +58,10 @@ FILTER_BITS = 1 << 27
 CHUNK_BYTES = 1 << 20
 #: Text bytes a bucket of the merge stands for.
 BUCKET_BYTES = 8 << 20
+#: Places of one gram, and surroundings under one key, that a task may hold at once.
+HOT_PLACES = 10_000
+#: Hashes whose counts a task keeps to find such grams.
+COUNTED = 1 << 14
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -327,23 +336,169 @@ def _digest(text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(text)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int = FILTER_BITS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+class Frequent:
+    """Counts of a task's most frequent hashes in bounded memory (Misra-Gries): short by at most 1 / ``size`` of all that was added."""
+
+    def __init__(self, size: int = COUNTED):
+        self.size = size
+        self.hashes, self.times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, hashes: np.ndarray) -> None:
+        known, place = np.unique(np.concatenate([self.hashes, hashes]), return_inverse=True)
+        times = np.bincount(place, np.concatenate([self.times, np.ones(len(hashes), np.int64)])).astype(np.int64)
+        if len(known) > self.size:
+            times -= np.partition(times, -self.size - 1)[-self.size - 1]
+        self.hashes, self.times = known[times > 0], times[times > 0]
+
+    def batch(self) -> pa.RecordBatch:
+        """Those counted more than once."""
+        again = self.times > 1
+        n = int(again.sum())
+        empty = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
+        return pa.RecordBatch.from_arrays([*empty, pa.array(self.hashes[again].view(np.int64)), pa.array(self.times[again])], names=["slice", "once", "twice", "gram", "n"])
+
+
+def _small_groups(length: int):
+    """Spans (cid, first, last) of the surroundings in each small group (lo, hi, key)."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple, list] = {}
+        for batch in batches:
+            for lo, hi, k, s, b, t, cid in zip(*(batch.column(n).to_pylist() for n in ("lo", "hi", "key", "s", "b", "t", "cid"))):
+                groups.setdefault((lo, hi, k), []).append((s, b, t, cid))
+        for rows in groups.values():
+            if len(rows) < 2:
+                continue
+            rows.sort()
+            suffixes = [r[0] for r in rows]
+            shared = [0, *(common_prefix(x, y, 0) for x, y in zip(suffixes, suffixes[1:]))]
+            found = repeated_parts(shared, suffixes, [r[1] for r in rows], [r[2] for r in rows], length)
+            out = [(r[3], x, y) for r, spans in zip(rows, found) for x, y in spans]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["cid", "first", "last"])
+
+    return run
+
+
+def hot_spans(contexts: DataFrame, length: int, gram: int, most: int) -> DataFrame:
+    """(cid, first, last), relative to the anchor, of distinct surroundings (cid, s from the anchor on, b before it, t times).
+
+    A node lo..hi stands for the strings with lo to hi bytes before the anchor.
+    All of them have the ``lo`` bytes before and the ``length - hi`` from the
+    anchor on, the node's key, and lie in the ``hi`` bytes before and the
+    ``length - lo`` after, the node's view.  Equal views settle each other: all
+    their strings occur again, and one goes on as the others' witness.  Of a
+    node with lo = hi the view is the key, so halving ends.
+    """
+    of = ["lo", "hi"]
+    rows = contexts.filter(F.octet_length("s") + F.octet_length("b") >= length).withColumns({"lo": F.lit(0), "hi": F.lit(length - gram)})
+    whole = lambda df: df.select("cid", (-F.octet_length("b")).cast("long").alias("first"), F.octet_length("s").cast("long").alias("last"))
+    found = [whole(rows.filter("t > 1"))]
+    while True:
+        middle = ((F.col("lo") + F.col("hi")) / 2).cast("int")
+        node = F.explode(F.array(F.struct(F.col("lo"), middle.alias("hi")), F.struct((middle + 1).alias("lo"), F.col("hi"))))
+        halves = rows.select("cid", "s", "b", "t", node.alias("node")).select("cid", "s", "b", "t", "node.lo", "node.hi")
+        halves = halves.filter((F.col("lo") <= F.col("hi")) & (F.octet_length("b") >= F.col("lo")) & (F.octet_length("s") >= length - F.col("hi")))
+        seen = F.least(F.octet_length("b"), F.col("hi"))
+        view = {"s": F.expr(f"substring(s, 1, {length} - lo)"), "b": F.substring("b", F.octet_length("b") - seen + 1, seen)}
+        halves = staged(halves.withColumns(view).filter(F.octet_length("s") + F.octet_length("b") >= length), "hot-halves")
+        key = F.xxhash64(F.expr("substring(b, octet_length(b) - lo + 1, lo)"), F.expr(f"substring(s, 1, {length} - hi)"))
+        views = halves.groupBy(*of, "s", "b").agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid"))
+        views = staged(views.withColumn("key", key), "hot-views")
+        equal = views.filter("n > 1").select(*of, "s", "b")
+        found.append(staged(whole(halves.join(equal, [*of, "s", "b"], "left_semi")), "hot-spans"))
+        sizes = views.groupBy(*of, "key").agg(F.count(F.lit(1)).alias("size"))
+        large = staged(sizes.filter(F.col("size") > most).select(*of, "key"), "hot-keys")  # at most one in ``most`` rows
+        small = views.join(F.broadcast(large), [*of, "key"], "left_anti")
+        parts = max(1, -(-views.count() // most))
+        dealt = small.withColumn("part", F.pmod(F.xxhash64(*of, "key"), F.lit(parts))).groupBy("part")
+        found.append(staged(dealt.applyInArrow(_small_groups(length), "cid long, first long, last long"), "hot-spans"))
+        if large.limit(1).count() == 0:
+            break
+        rows = views.join(F.broadcast(large), [*of, "key"], "left_semi").select("cid", "s", "b", "t", *of)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _hot_places(texts: DataFrame, hot, length: int, gram: int, most: int) -> DataFrame:
+    """(digest, first, last) of the places of the hot grams (a broadcast, sorted array)."""
+    before = length - gram
+
+    @tidy
+    def places(batches):
+        held: dict[tuple[bytes, bytes], dict[bytes, int]] = {}
+        n = 0
+
+        def out():
+            columns = [[s for s, _ in held], [b for _, b in held], [b"".join(x) for x in held.values()]]
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.binary()) for c in columns), pa.array([sum(x.values()) for x in held.values()], pa.int64())], names=["s", "b", "places", "n"])
+
+        for batch in batches:
+            raw = byte_texts(batch.column(0))
+            for a, b in _few(raw, CHUNK_BYTES):
+                text, at, h = anchors(raw[a:b], length, gram)
+                keep = np.isin(h, hot.value)
+                digests: dict[int, bytes] = {}
+                for t, p in zip(text[keep].tolist(), at[keep].tolist()):
+                    whole = raw[a + t]
+                    if t not in digests:
+                        digests[t] = _digest(whole)
+                    entry = held.setdefault((whole[p : p + length], whole[max(0, p - before) : p]), {})
+                    place = digests[t] + p.to_bytes(8, "little")
+                    entry[place] = entry.get(place, 0) + 1
+                    n += 1
+                if n > 20_000:
+                    yield out()
+                    held.clear()
+                    n = 0
+        yield out()
+
+    @tidy
+    def spread(batches):
+        for batch in batches:
+            for places, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at = np.frombuffer(places, np.dtype([("digest", "V16"), ("at", "<i8")]))
+                for x, y in _merged(spans):
+                    digests = pa.Array.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(at["digest"].tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([digests, pa.array(at["at"] + x), pa.array(at["at"] + y)], names=["digest", "first", "last"])
+
+    # a task's places of the same surroundings are one row, so common surroundings are a row a task
+    found = staged(texts.mapInArrow(places, "s binary, b binary, places binary, n long"), "hot-places")
+    contexts = found.groupBy("s", "b").agg(F.sum("n").alias("t"))
+    contexts = staged(contexts.withColumn("cid", F.monotonically_increasing_id()), "hot-contexts")
+    spans = hot_spans(contexts, length, gram, most).groupBy("cid").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
+    wanted = contexts.join(spans, "cid").select("s", "b", "spans")
+    return found.join(wanted, ["s", "b"]).select("places", "spans").mapInArrow(spread, SPANS)
+
+
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int = FILTER_BITS, bucket_bytes: int = BUCKET_BYTES, hot_places: int = HOT_PLACES
+) -> DataFrame:
     """digest (128-bit hash of a text) and spans, array of (first, last) with last exclusive, of texts that lose bytes."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
 
     @tidy
     def sketch(batches):
-        seen = bloom.SeenTwice(bits)
+        seen, frequent = bloom.SeenTwice(bits), Frequent()
         for batch in batches:
             raw = byte_texts(batch.column(0))
             for a, b in _few(raw, CHUNK_BYTES):
                 found = anchors(raw[a:b], length, gram)[2]
                 if len(found):
                     seen.add(found)
-        yield bloom.slice_batch(seen)
-
-    twice = spark.sparkContext.broadcast(bloom.merged_twice(texts.mapInArrow(sketch, bloom.SLICES), bits))
+                    frequent.add(found)
+        slices = bloom.slice_batch(seen)
+        none = pa.nulls(slices.num_rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([*slices.columns, none, none], names=[*slices.schema.names, "gram", "n"])
+        yield frequent.batch()
+
+    sketched = staged(texts.mapInArrow(sketch, f"{bloom.SLICES}, gram long, n long"), "gram-sketches")
+    twice = spark.sparkContext.broadcast(bloom.merged_twice(sketched.filter("slice IS NOT NULL").select("slice", "once", "twice"), bits))
+    counted = sketched.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_places)
+    # at most one in ``hot_places`` anchors
+    hot = spark.sparkContext.broadcast(np.sort(np.array([r["gram"] for r in counted.select("gram").collect()], np.int64).view(np.uint64)))
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(64, -(-total // bucket_bytes))
     before = length - gram
@@ -362,6 +517,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
             for a, b in _few(raw, CHUNK_BYTES):
                 text, at, h = anchors(raw[a:b], length, gram)
                 keep = bloom.probe(twice.value, h, bits) if len(h) else np.zeros(0, bool)
+                if len(hot.value):
+                    keep &= ~np.isin(h, hot.value)
                 digests: dict[int, bytes] = {}
                 for t, p, k in zip(text[keep].tolist(), at[keep].tolist(), (h[keep] % np.uint64(buckets)).tolist()):
                     whole = raw[a + t]
@@ -396,6 +553,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
         yield out()
 
     found = sent.groupBy("bucket").applyInArrow(merge, SPANS)
+    if len(hot.value):
+        found = found.unionByName(_hot_places(texts, hot, length, gram, hot_places))
     one = found.groupBy("digest").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
     return one
 
@@ -423,7 +582,9 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*keep, text[at:]])
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int = FILTER_BITS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int = FILTER_BITS, bucket_bytes: int = BUCKET_BYTES, hot_places: int = HOT_PLACES
+) -> DataFrame:
     """The documents plus ``kept`` (binary, the bytes that stay), ``n_bytes``, ``n_removed`` and ``n_spans``.
 
     Input columns of these names are replaced; ``kept`` is binary since a cut
@@ -432,7 +593,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, te
     prepare(docs.sparkSession)
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
     names = docs.columns
-    spans = staged(repeated_spans(docs, length, gram, text_col, bits, bucket_bytes), "repeated-spans")
+    spans = staged(repeated_spans(docs, length, gram, text_col, bits, bucket_bytes, hot_places), "repeated-spans")
 
     @tidy
     def add(batches):

@@ -412,6 +412,35 @@ def test_substring_dedup_matches_brute_force(spark):
     assert Counter(tuple(r) for r in out) == expected
 
 
+def test_substring_dedup_holds_no_hot_gram_in_one_group(spark, monkeypatch):
+    """Passages in many texts with differing or partly equal surroundings: exact, and no group above the bound."""
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefgh é"))
+    piece = lambda n: "".join(rng.choice(letters, n))
+    passages = [piece(n) for n in (14, 25, 38, 41, 60, 95)]
+    heads, tails = [piece(30) for _ in range(4)], [piece(30) for _ in range(4)]
+    texts = [piece(int(rng.integers(0, 40))) + heads[i % 4][int(rng.integers(0, 31)) :] + p + tails[i // 4 % 4][: int(rng.integers(0, 31))] + piece(int(rng.integers(0, 40))) for p in passages for i in range(60)]
+    texts += [p + piece(20) for p in passages] + [piece(20) + p for p in passages] + passages + texts[:3] + ["a" * 150, "ab" * 60, None, ""]
+    rows = list(enumerate(texts))
+    frame = docs(spark, rows)
+    calls = []
+    real = suffix_dedup.hot_spans
+    monkeypatch.setattr(suffix_dedup, "hot_spans", lambda contexts, *rest: calls.append(contexts.count()) or real(contexts, *rest))
+    out = suffix_dedup.dedup_substrings(frame, length=40, gram=12, bits=1 << 20, hot_places=8).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("h")).collect()
+    assert calls and calls[0] > 300  # the passages' surroundings are split, not one group
+    assert Counter(tuple(r) for r in out) == Counter((r[0], *e) for r, e in zip(rows, _brute_substrings(texts, 40)))
+
+
+def test_frequent_hashes_are_short_by_a_bounded_count():
+    rng = np.random.default_rng(13)
+    frequent = suffix_dedup.Frequent(size=20)
+    added = [np.concatenate([np.full(30, 7, np.uint64), rng.integers(100, 2**60, 70, dtype=np.uint64)]) for _ in range(50)]
+    for a in added:
+        frequent.add(a)
+        assert len(frequent.hashes) <= 20
+    assert 1500 - 5000 // 20 <= dict(zip(frequent.hashes.tolist(), frequent.times.tolist()))[7] <= 1500
+
+
 def test_loser_tree_merges_with_common_prefixes():
     rng = np.random.default_rng(11)
     runs = [sorted(bytes(rng.integers(97, 99, int(rng.integers(1, 12))).astype(np.uint8)) for _ in range(int(rng.integers(0, 40)))) for _ in range(7)]
