@@ -47,6 +47,13 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -
     return rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)))
 
 
+def _one_vector_each(rows: DataFrame) -> DataFrame:
+    """The smallest vector of each id, shorter ones compared and returned as padded with zeros."""
+    dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    padded = F.concat("v", F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("v")))
+    return rows.groupBy("id").agg(F.min(padded).alias("v"))
+
+
 def _floor(c: Column) -> Column:
     """Floor as a double, whatever its size (beyond 2^53 doubles are whole)."""
     return F.when(F.abs(c) < EXACT, F.floor(c).cast("double")).otherwise(c)
@@ -166,7 +173,7 @@ def exact_top_k(
     # a hash behind the length splits vectors of equal length
     by_length = rows.repartitionByRange(F.desc("norm"), F.xxhash64("id", F.monotonically_increasing_id())).sortWithinPartitions(F.desc("norm"))
     table = staged(by_length, "vectors-by-length")
-    asked = staged(integer_vectors(queries, id_col, vec_col, scale), "query-vectors")
+    asked = staged(_one_vector_each(integer_vectors(queries, id_col, vec_col, scale).select("id", "v")), "query-vectors")
     n_queries = asked.count()
     dim = max([1, *(r[0] for r in (f.agg(F.max(F.size("v"))).first() for f in (table, asked)) if r[0])])
     rotate = rotation(table, dim)
@@ -178,9 +185,8 @@ def exact_top_k(
     for b in range(blocks):
         part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).toArrow()
         ids, wanted = part.column("id").to_numpy(), _matrix(part.column("v"), dim)
-        order = np.lexsort([*wanted.T[::-1], ids])
-        _, first = np.unique(ids[order], return_index=True)
-        ids, wanted = ids[order][first], wanted[order][first]
+        order = np.argsort(ids)
+        ids, wanted = ids[order], wanted[order]
         seed = Block(ids, wanted, rotate, k, np.full(len(ids), -np.inf))
         for i in range(0, len(head_ids) if len(ids) else 0, CHUNK):
             if not seed.visit(head_ids[i : i + CHUNK], head_vectors[i : i + CHUNK], rotate):

@@ -192,6 +192,22 @@ def test_top_k_chunk_may_begin_with_a_short_vector():
     assert block.found.tolist() == [2]
 
 
+def test_top_k_sends_one_vector_of_a_repeated_query_id(spark, monkeypatch):
+    rng = np.random.default_rng(32)
+    rows = [(i, rng.normal(size=4).round(2).tolist()) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(7, [1.0, -1.0]), (7, [1.0]), (7, [1.0, -2.0, 3.0])] + [(7, [1.0, 2.0 + i]) for i in range(500)] + [(8, [3.0])], "vec_id long, embedding array<double>")
+    sent = []
+    real = topk._matrix
+    monkeypatch.setattr(topk, "_matrix", lambda column, dim: sent.append(len(column)) or real(column, dim))
+    out = topk.exact_top_k(df, asked, k=3, head_rows=1).collect()
+    assert max(sent) <= 2  # the head's row, and one vector of either id
+    for q, v in ((7, [1, -2, 3, 0]), (8, [3, 0, 0, 0])):  # the smallest, shorter ones padded with zeros
+        score = lambda x: sum(256 * a * int(np.floor(256 * b)) for a, b in zip(v, x))  # noqa: B023, E731
+        best = sorted((-score(x), i) for i, x in rows if i != q)[:3]
+        assert [(-r["score"], r["vec_id"]) for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == q] == best
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_top_k(df, df).count() == 0
