@@ -128,6 +128,8 @@ def _search(batch_texts: list[bytes], windows: Windows):
 
 def _item_blocks(benchmark: DataFrame, text_col: str, id_col: str, block_bytes: int):
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    # equal rows add nothing and would all hash to one block
+    items = staged(items.distinct(), "benchmark-items")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     for b in range(blocks):

@@ -396,6 +396,14 @@ def test_decontamination_matches_brute_force(spark, block_bytes):
     assert clean[34] == "q  q" and clean[31] is None and clean[35] == LONG
 
 
+def test_decontamination_blocks_hold_a_repeated_item_once(spark):
+    prepare(spark)
+    items = [(i, f"item number {i} " + "x " * 10) for i in range(30)] + [(1, "one item again and again")] * 500
+    blocks = [b() for b in D._item_blocks(spark.createDataFrame(items, "item_id long, text string"), "text", "item_id", 400)]
+    assert sorted(r for b in blocks for r in b) == sorted((i, t.encode()) for i, t in set(items))
+    assert len(blocks) == -(-sum(len(t) + 16 for _, t in set(items)) // 400)
+
+
 # --- substring dedup ----------------------------------------------------------
 
 
