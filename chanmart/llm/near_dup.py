@@ -263,7 +263,7 @@ def links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str, buck
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("members"), F.sum(F.xxhash64("id", F.lit(1)) % 1_000_003).alias("check"))
     buckets = staged(sizes.filter("n > 1").groupBy("n", "members", "check").agg(F.min("key").alias("key")).select("key", "n"), "near-buckets")
     members = staged(banded.join(buckets, "key").select("key", "id", "n"), "near-members")
-    elements = staged(_elements_of(docs, members, id_col, text_col).dropDuplicates(["id"]), "near-elements")
+    elements = staged(_elements_of(docs, members, id_col, text_col).distinct(), "near-elements")  # a row for each set of an id
     large = members.filter(F.col("n") > bucket_rows).select("key", "id")
     found, level, before = None, 0, None
     while True:
@@ -273,7 +273,7 @@ def links(docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str, buck
         new = linked.filter("leader <> id").select("leader", "id")
         found = new if found is None else found.unionByName(new)
         split = members.filter(F.col("n") > bucket_rows).select("key").distinct()
-        leaders = linked.filter("leader = id").select("key", "id").join(split, "key", "left_semi")
+        leaders = linked.filter("leader = id").select("key", "id").distinct().join(split, "key", "left_semi")
         n = leaders.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         members = staged(leaders.join(n, "key").select("key", "id", "n"), "near-members")
         left = members.count()
@@ -333,11 +333,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def shared_ids(sketches: DataFrame) -> DataFrame:
+    """(leader, id) links between the fingerprints of an id with several, by their smallest ids."""
+    known = sketches.filter("id IS NOT NULL AND print IS NOT NULL")
+    several = known.groupBy("id").agg(F.min("print").alias("a"), F.max("print").alias("b")).filter("a <> b").select("id")
+    reps = known.groupBy("print").agg(F.min("id").alias("rep"))
+    theirs = known.join(several, "id", "left_semi").select("id", "print").distinct().join(reps, "print")
+    return theirs.filter("rep <> id").select(F.col("rep").alias("leader"), "id")
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per document: ``id_col`` and ``class_id``, the smallest id among its near copies (itself without any)."""
     prepare(docs.sparkSession)
     sketches = staged(sketch(docs, id_col, text_col), "near-sketches")
-    labels = components(links(docs, sketches, id_col, text_col, bucket_rows))
+    linked = links(docs, sketches, id_col, text_col, bucket_rows)
+    labels = components(linked.unionByName(shared_ids(sketches)))
     again = sketches.filter("id IS NOT NULL AND print IS NOT NULL").groupBy("print").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     classes = again.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").filter((F.col("n") > 1) | F.col("label").isNotNull())
     classes = staged(classes.select(F.col("print").alias("p"), F.coalesce("label", "rep").alias("class_id")), "near-classes")

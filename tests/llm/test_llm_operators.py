@@ -498,6 +498,19 @@ def test_near_duplicates_lose_no_link_in_split_buckets(spark):
     assert got == {i: 0 if i < 1000 else i for i, _ in rows}
 
 
+@pytest.mark.parametrize("bucket_rows", [1000, 2])
+def test_near_duplicates_use_every_text_of_a_repeated_id(spark, bucket_rows):
+    rng = np.random.default_rng(43)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**6, 100))
+    rows, expected = [], {}
+    for i in range(0, 200, 10):  # one id, two texts; a near copy of each, and an exact copy of a third of another id
+        one, two, three = text(), text(), text()
+        rows += [(i, one), (i, two), (i + 1, one + " edit"), (i + 2, two + " edit"), (i + 3, three), (i + 4, three), (i + 4, two), (i + 5, text())]
+        expected |= {i + k: i for k in range(5)} | {i + 5: i + 5}
+    got = near_dup.near_duplicate_classes(docs(spark, rows), bucket_rows=bucket_rows).collect()
+    assert len(got) == len(rows) and {(r["doc_id"], r["class_id"]) for r in got} == set(expected.items())
+
+
 def test_links_across_meet_every_pair_of_different_labels(spark):
     rng = np.random.default_rng(42)
     bases = [rng.integers(0, 2**63, 90, dtype=np.uint64) for _ in range(3)]
