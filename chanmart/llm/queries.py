@@ -1,5 +1,7 @@
 """Queries of this subpackage, ``(spark, sf_dir) -> DataFrame``, and their DuckDB SQL where SQL can express them."""
 
+from chanmart.llm.conversation_repair import OP12_SQL, op12_conversation_repair
+from chanmart.llm.conversation_trie import OP13_SQL, op13_conversation_trie
 from chanmart.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from chanmart.llm.line_dedup import OP4_SQL, op4_line_dedup
 from chanmart.llm.near_dup import op6_minhash_near_dedup
@@ -10,6 +12,7 @@ from chanmart.llm.secrets import OP2_SQL, op2_secret_scan
 from chanmart.llm.suffix_dedup import op9_suffix_array_dedup
 from chanmart.llm.topk import OP3_SQL, op3_exact_topk
 from chanmart.llm.toxicity import op5_toxicity
+from chanmart.llm.url_filter import OP11_SQL, op11_url_filter
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -22,6 +25,9 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii": op10_pii,
+    "op11_url_filter": op11_url_filter,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE_SQL = {
@@ -31,4 +37,7 @@ ORACLE_SQL = {
     "op7_warc_revisits": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_pii": OP10_SQL,
+    "op11_url_filter": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }
