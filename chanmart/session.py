@@ -19,18 +19,26 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for ``checkpoint()``, read from the session.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (tests, local runs) is ``fallback`` used.  The folder is registered with
-    the SparkContext so ``DataFrame.checkpoint()`` writes there.
+    (tests, local runs) is ``fallback`` used.  The setting is one of Spark's
+    own and can't be changed on a running session, so the fallback is
+    registered with the SparkContext and read back from there.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if fallback is None:
-            raise RuntimeError(f"{CHECKPOINT_CONF} is not set and no fallback folder was given")
-        path = fallback
-        spark.conf.set(CHECKPOINT_CONF, path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    context = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_CONF, None)
+    if not path and not context.getCheckpointDir() and fallback is None:
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set and no fallback folder was given")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(path or fallback)
+    return path or context.getCheckpointDir()
+
+
+def importable_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed (they start from the JVM's environment)."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
 
 
 @contextmanager
