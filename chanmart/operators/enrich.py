@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanmart.schemas import DETECTOR_OUTPUT_DDL
-from chanmart.sources.lake import file_at
+from chanmart.sources.lake import file_bytes
 
 # Fixed value: the message id is the image file's stem (``12345.jpg``).
 STEM_PATTERN = r"([^/]+)\.[^./]+$"
@@ -39,13 +39,6 @@ def unprocessed_images(images: DataFrame, detections: DataFrame, path_col: str =
     return images.join(done, path_col, "left_anti").select(*images.columns)
 
 
-def read_file_bytes(uri: str) -> bytes:
-    """Bytes of one file, on the executor (local paths, file: paths as Spark writes them, or any pyarrow filesystem)."""
-    filesystem, path = file_at(uri)
-    with filesystem.open_input_file(path) as f:
-        return f.read()
-
-
 def detect_objects(images: DataFrame, detector_factory: DetectorFactory, path_col: str = "path") -> DataFrame:
     """Run a detector over image rows: one output row per box.
 
@@ -66,7 +59,7 @@ def detect_objects(images: DataFrame, detector_factory: DetectorFactory, path_co
             contents = pdf["content"] if has_content else [None] * len(pdf)
             for path, content in zip(pdf[path_col], contents):
                 try:
-                    data = bytes(content) if content is not None else read_file_bytes(path)
+                    data = bytes(content) if content is not None else file_bytes(path)
                     for cls, conf, box in detect(path, data):
                         out.append((path, str(cls), float(conf), [float(x) for x in box] if box is not None else None, None))
                 except Exception as exc:  # isolate per-image failures

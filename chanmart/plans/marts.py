@@ -75,21 +75,27 @@ def fct_messages(stg_messages: DataFrame, dates: DataFrame, carry=()) -> DataFra
     )
 
 
-def fct_image_detections(stg_detections: DataFrame, messages: DataFrame, broadcast_detections: bool = False) -> DataFrame:
+def message_keys(stg_messages: DataFrame) -> DataFrame:
+    """What detections need of a message: id, channel and day.  A row never changes, so this table only grows."""
+    return stg_messages.select("message_id", "channel_id", D.day_of(F.col("message_posted_at")).alias("posted_day"))
+
+
+def dated_keys(keys: DataFrame, spine) -> DataFrame:
+    """``message_keys`` with their date key: the day where it lies in ``spine`` (first, last), else NULL."""
+    day = F.col("posted_day")
+    inside = day.between(F.lit(spine[0]), F.lit(spine[1])) if spine else F.lit(False)
+    return keys.select("message_id", "channel_id", F.when(inside, day).alias("date_day"))
+
+
+def fct_image_detections(stg_detections: DataFrame, messages: DataFrame, carry=()) -> DataFrame:
     """One row per detected box with its message's channel and date.
 
-    Left join on ``message_id`` only.  Both sides grow with the data, so by
-    default no broadcast is forced; the planner (with AQE) picks one only from
-    measured sizes, and skewed message ids on the detection side are split by
-    AQE's skew-join handling.  ``broadcast_detections`` (for a caller that
-    has checked the detections' size) first reduces the message side with a
-    semi-join against the detections' broadcast message ids -- the message
-    keys are streamed, never shuffled -- and then joins the two small sides.
+    Left join on ``message_id`` only.  Both sides grow with the data, so no
+    broadcast is forced; the planner (with AQE) picks one only from measured
+    sizes, and skewed message ids on the detection side are split by AQE's
+    skew-join handling.  Sides laid out by hash of the id are not shuffled.
     """
     m = messages.select("message_id", "channel_id", "date_day")
-    if broadcast_detections:
-        wanted = F.broadcast(stg_detections.select("message_id").distinct())
-        m = m.join(wanted, "message_id", "left_semi")
     joined = stg_detections.join(m, "message_id", "left")
     return joined.select(
         "detection_id",
@@ -100,4 +106,5 @@ def fct_image_detections(stg_detections: DataFrame, messages: DataFrame, broadca
         "confidence_score",
         "bounding_box",
         "image_path",
+        *carry,
     )

@@ -1,4 +1,4 @@
-"""Named tables under a warehouse root (Parquet), and the generated inputs."""
+"""Named tables under a warehouse root (versioned Parquet, see ``snapshots``), and the generated inputs."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chanmart.sources import snapshots as SN
+
 # The warehouse's table names.
 RAW_MESSAGES = "raw_messages"
 RAW_REJECTS = "raw_message_rejects"
@@ -19,6 +21,8 @@ FCT_MESSAGES = "fct_messages"
 FCT_IMAGE_DETECTIONS = "fct_image_detections"
 RPT_WORD_COUNTS = "rpt_word_counts"
 RPT_CHANNEL_DAYS = "rpt_channel_day_counts"
+MESSAGE_KEYS = "message_keys"
+CHECK_KEYS = "check_keys"
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +35,12 @@ def table_path(root: str, name: str) -> str:
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    path = table_path(root, name)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS probe
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    return bool(fs.exists(jvm_path))
+    return SN.snapshot(spark, root, name) is not None or _plain(spark, root, name)
+
+
+def _plain(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether the table is a plain Parquet folder, written by other means."""
+    return SN.exists(spark, table_path(root, name)) and not SN.exists(spark, SN.pointer_path(root, name))
 
 
 def _declared_schema(name: str):
@@ -50,25 +56,39 @@ def _declared_schema(name: str):
     }.get(name)
 
 
-def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
-    """Read a warehouse table; an absent table reads as empty when its schema is known.
+def read_table(spark: SparkSession, root: str, name: str, schema=None, dates=None, since: int = 0) -> DataFrame:
+    """Read the present version of a warehouse table; an absent one reads as empty when its schema is known.
 
-    Raw tables and the message staging/fact tables are read with their
-    declared schema (so the ``lake_date`` partition column stays a string
-    instead of being inferred as a date).
+    ``dates`` (values of the table's one partition column) limits the read to
+    those partition folders: the others aren't even listed.  ``since`` limits
+    it to the rows of writes after that number (see ``snapshots``).
     """
+    version = SN.snapshot(spark, root, name)
+    if version is not None:
+        partitions = None if dates is None else [f"{version.partition_by[0]}={d}" for d in dates]
+        return SN.read_snapshot(spark, root, name, partitions, since, version)
     schema = schema if schema is not None else _declared_schema(name)
-    if schema is not None and not table_exists(spark, root, name):
+    if not _plain(spark, root, name):
+        if schema is None:
+            raise FileNotFoundError(f"no table {name} under {root}")
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(table_path(root, name))
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite", partition_by=None) -> None:
-    writer = distributed(df, partition_by).write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(table_path(root, name))
+def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite", partition_by=None, meta: dict | None = None, sort_by=(), replaced=None):
+    """Write a new version of a table: readers see it whole or not at all.
+
+    ``mode``: ``overwrite``, ``append``, or ``partitions`` (those that ``df``
+    has rows of, and those named in ``replaced``, are replaced).  Rows of one
+    partition folder are brought together, files are sorted by ``sort_by``.
+    """
+    if mode != "overwrite" and _plain(df.sparkSession, root, name):
+        raise ValueError(f"{name} under {root} is a plain folder: read it and write it once with mode='overwrite'")
+    df = distributed(df, partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or ()), *sort_by)
+    return SN.write_snapshot(df, root, name, mode, partition_by or (), meta, replaced=replaced)
 
 
 def distributed(df: DataFrame, partition_by) -> DataFrame:
@@ -76,15 +96,16 @@ def distributed(df: DataFrame, partition_by) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def write_partitions(df: DataFrame, root: str, name: str, partition_by, dynamic: bool, sort_by=()) -> None:
-    """Write a partitioned table, files sorted by ``sort_by``; with ``dynamic`` only the partitions present in ``df`` are replaced."""
-    df = distributed(df, partition_by)
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(table_path(root, name))
+def meta(spark: SparkSession, root: str, name: str) -> dict:
+    """The record that a table's writer keeps with it ({} before the first write)."""
+    version = SN.snapshot(spark, root, name)
+    return version.meta if version else {}
+
+
+def written(spark: SparkSession, root: str, name: str) -> int:
+    """Number of a table's last write (0 before the first)."""
+    version = SN.snapshot(spark, root, name)
+    return version.seq if version else 0
 
 
 def register_views(spark: SparkSession, root: str, names) -> None:
@@ -98,93 +119,25 @@ def register_views(spark: SparkSession, root: str, names) -> None:
 _ROWS_PER_PARTITION_BITS = 33
 
 
-def _next_id_path(root: str, name: str) -> str:
-    return os.path.join(root, "_next_id", f"{name}.txt")
-
-
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS access
-    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-
-
-def _read_small_text(spark: SparkSession, path: str) -> str | None:
-    jvm_path, fs = _hadoop_fs(spark, path)
-    if not fs.exists(jvm_path):
-        return None
-    stream = fs.open(jvm_path)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))  # noqa: SLF001
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
-def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a one-line file: write a sibling, then rename over the old one."""
-    jvm_path, fs = _hadoop_fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")  # noqa: SLF001
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    fs.delete(jvm_path, False)
-    fs.rename(tmp, jvm_path)
-
-
-def bytes_on_disk(spark: SparkSession, root: str, name: str) -> int:
-    """Total file bytes of a table (a filesystem metadata call; 0 when absent)."""
-    jvm_path, fs = _hadoop_fs(spark, table_path(root, name))
-    return int(fs.getContentSummary(jvm_path).getLength()) if fs.exists(jvm_path) else 0
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a job's own intermediate folder (recursively) once nothing reads it."""
-    jvm_path, fs = _hadoop_fs(spark, path)
-    fs.delete(jvm_path, True)
-
-
 def read_next_id(spark: SparkSession, root: str, name: str, id_col: str = "id") -> int:
-    """First unused surrogate id of a table, from its watermark file.
+    """First unused surrogate id of a table, kept with it by ``append_rows_with_ids``.
 
-    Without a watermark (first load, or a table written by other means) it
-    is computed once from the table's maximum id.
+    Where a table has rows of other means, it is computed once from the
+    table's maximum id.
     """
-    text = _read_small_text(spark, _next_id_path(root, name))
-    if text:
-        return int(text.strip())
+    kept = meta(spark, root, name).get("next_id")
+    if kept is not None:
+        return int(kept)
     if table_exists(spark, root, name):
         top = read_table(spark, root, name).agg({id_col: "max"}).first()[0]
         return int(top) + 1 if top is not None else 1
     return 1
 
 
-def advance_next_id(spark: SparkSession, root: str, name: str, start: int, num_partitions: int) -> int:
-    """Store a watermark above every id a stamped frame can hold and return it.
+def next_id_after(start: int, num_partitions: int) -> int:
+    """An id above every one that a frame stamped from ``start`` with so many partitions can hold.
 
-    A frame stamped from ``start`` with ``num_partitions`` partitions holds
-    ids below ``start + num_partitions * 2**33`` (gaps are allowed), so no
-    pass over the written rows is needed.  The watermark is one number kept
-    in a small file next to the tables.
+    Such a frame holds ids below ``start + num_partitions * 2**33`` (gaps are
+    allowed), so no pass over the written rows is needed.
     """
-    nxt = start + (max(num_partitions, 1) << _ROWS_PER_PARTITION_BITS)
-    _write_small_text(spark, _next_id_path(root, name), str(nxt))
-    return nxt
-
-
-def _state_path(root: str, name: str) -> str:
-    return os.path.join(root, "_build_state", f"{name}.json")
-
-
-def read_state(spark: SparkSession, root: str, name: str) -> dict | None:
-    """A job's small bookkeeping record (JSON), or None before its first run."""
-    import json
-
-    text = _read_small_text(spark, _state_path(root, name))
-    return json.loads(text) if text else None
-
-
-def write_state(spark: SparkSession, root: str, name: str, state: dict) -> None:
-    import json
-
-    _write_small_text(spark, _state_path(root, name), json.dumps(state, sort_keys=True))
+    return start + (max(num_partitions, 1) << _ROWS_PER_PARTITION_BITS)

@@ -98,22 +98,3 @@ def test_fct_image_detections_left_join(spark):
     rows = {r["detection_id"]: r for r in M.fct_image_detections(det, msgs).collect()}
     assert (rows[1]["channel_id"], rows[1]["date_day"]) == (3, dt.date(2021, 1, 1))
     assert rows[2]["channel_id"] is None and rows[2]["message_id"] == 99
-
-
-def test_fct_image_detections_broadcast_form_is_the_same_join(spark):
-    det = spark.createDataFrame(
-        [(1, 10, "a", "pill", 0.9, [0.0]), (2, 99, "b", "box", 0.5, None), (3, 10, "c", "cup", 0.1, [1.0])],
-        "detection_id long, message_id long, image_path string, detected_object_class string, "
-        "confidence_score float, bounding_box array<double>",
-    )
-    msgs = spark.createDataFrame(
-        [(10, 3, dt.date(2021, 1, 1)), (10, 4, None), (11, 5, dt.date(2021, 1, 2))],
-        "message_id long, channel_id long, date_day date",
-    )
-    plain = M.fct_image_detections(det, msgs)
-    shipped = M.fct_image_detections(det, msgs, broadcast_detections=True)
-    assert shipped.columns == plain.columns
-    assert sorted(map(tuple, shipped.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-    assert len(plain.collect()) == 5
-    plan = shipped._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
