@@ -33,15 +33,55 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A parsed variant keeps a number's value, not its text: 1.0 comes back as 1.
+# So numbers are parsed as strings that begin with the two characters below, and
+# a string's own U+0001 is followed by an "s", so that no string looks like one.
+_NUMBER, _OWN = "\x01n", "\x01s"
+# From where the last match ended: strings and whatever else is no number, then a number by the JSON grammar.
+_TO_NUMBER = r'\G((?:[^"0-9-]++|"(?:[^"\\]++|\\.)*+")*+)(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+)'
+# An escaped U+0001: its backslash follows an even number of others.
+_ESCAPED = r"(?<!\\)((?:\\\\)*+)\\u0001"
+_CONTROL = "\\u0001"
+
+
+def numbers_as_text(json: Column) -> Column:
+    """JSON text whose numbers are marked strings, so that a parse keeps them as written."""
+    own = F.when(F.contains(json, F.lit(_CONTROL)), F.regexp_replace(json, _ESCAPED, r"$1\\u0001s")).otherwise(json)
+    return F.regexp_replace(own, "(?s)" + _TO_NUMBER, r'$1"\\u0001n$2"')
+
+
+def numbers_as_numbers(json: Column) -> Column:
+    """The inverse of ``numbers_as_text`` on the text of a parsed document."""
+    plain = F.regexp_replace(json, r'"\\u0001n([^"]*+)"', "$1")
+    return F.when(F.contains(plain, F.lit("\\u0001s")), F.regexp_replace(plain, _ESCAPED + "s", r"$1\\u0001")).otherwise(plain)
+
+
+def _text_at(v: Column, path: str, lenient: bool = True) -> Column:
+    """Text of the value at ``path``, a number's as written."""
+    text = (F.try_variant_get if lenient else F.variant_get)(v, path, "string")
+    nested = F.contains(text, F.lit(_CONTROL)) & variant_type(v, path).rlike("^(OBJECT|ARRAY)")
+    return (
+        F.when(F.startswith(text, F.lit(_NUMBER)), F.substring(text, 3, 1 << 30))
+        .when(F.contains(text, F.lit(_OWN)), F.replace(text, F.lit(_OWN), F.lit("\x01")))
+        .when(nested, numbers_as_numbers(text))
+        .otherwise(text)
+    )
+
+
+def _is_number(v: Column, path: str) -> Column:
+    return F.startswith(F.try_variant_get(v, path, "string"), F.lit(_NUMBER))
+
+
 def parse_variant(value: Column | str) -> Column:
     """Lenient parse: NULL for text that is not one JSON value (incl. NaN, empty, text after the value).
 
+    Numbers are held as marked text (see ``numbers_as_text``).
     ``try_parse_json`` stops at the end of the first value.  What may follow
     a value inside an array and inside an object has nothing but white space in
     common (after a comma, one asks for a value, the other for a name and a
     colon), so a text that parses within both is one value and nothing else.
     """
-    value = _col(value)
+    value = numbers_as_text(_col(value))
     in_array = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
     return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
@@ -55,7 +95,7 @@ def with_parsed(df, text_col: str, alias: str = "_doc", lenient: bool = True, ke
     generator and cannot be pushed below it, which would inline (and repeat)
     the parse in every predicate.
     """
-    parse = parse_variant(text_col) if lenient else F.parse_json(F.col(text_col))
+    parse = parse_variant(text_col) if lenient else F.parse_json(numbers_as_text(F.col(text_col)))
     cols = list(keep) if keep is not None else [c for c in df.columns]
     return df.select(*cols, F.explode(F.array(parse)).alias(alias))
 
@@ -90,14 +130,12 @@ def _is_falsy(v: Column, path: str) -> Column:
     """
     t = variant_type(v, path)
     as_text = F.try_variant_get(v, path, "string")
-    as_num = F.try_variant_get(v, path, "double")
+    number = _is_number(v, path)
     return (
         t.isNull()
         | (t == "VOID")
-        | ((t == "BIGINT") & (as_num == 0))
-        | (t.startswith("DECIMAL") & (as_num == 0))
-        | (t.isin("DOUBLE", "FLOAT") & (as_num == 0))
-        | ((t == "STRING") & (as_text == ""))
+        | (number & (_text_at(v, path).try_cast("double") == 0))
+        | ((t == "STRING") & ~number & (as_text == ""))
         | ((t == "BOOLEAN") & (as_text == "false"))
         | (t == "ARRAY<VOID>")
         | (t == "OBJECT<>")
@@ -110,9 +148,9 @@ def _is_integer_value(v: Column, path: str) -> Column:
     JSON integers and strings holding an integer are accepted (the database
     casts '7' to 7); decimals, booleans, arrays and objects are not.
     """
-    t = variant_type(v, path)
-    text = F.try_variant_get(v, path, "string")
-    return ((t == "BIGINT") | (t == "STRING")) & text.try_cast("bigint").isNotNull()
+    text = _text_at(v, path)
+    whole = ~_is_number(v, path) | text.rlike("^-?[0-9]+$")
+    return (variant_type(v, path) == "STRING") & whole & text.try_cast("bigint").isNotNull()
 
 
 # Fixed value: an escaped NUL character in JSON text, i.e. \u0000 preceded by
@@ -145,7 +183,7 @@ def reject_reason(v: Column, text: Column | None = None) -> Column:
     raw table's BIGINT columns refuse, then NUL characters and halves of
     surrogate pairs (rejected by the JSON column type).
     """
-    text = v.cast("string") if text is None else text
+    text = normalized_json(v) if text is None else text
     channel_t = variant_type(v, "$.peer_id.channel_id")
     channel_ok = (
         channel_t.isNull() | (channel_t == "VOID") | _is_integer_value(v, "$.peer_id.channel_id")
@@ -163,25 +201,25 @@ def reject_reason(v: Column, text: Column | None = None) -> Column:
 
 
 def normalized_json(v: Column) -> Column:
-    """Re-serialised JSON text of a parsed file: duplicate keys resolved last-wins.
+    """Re-serialised JSON text of a parsed file: numbers as written, duplicate keys resolved last-wins.
 
     Needs ``spark.sql.variant.allowDuplicateKeys=true`` (set by the ingest
     operators), otherwise a file with a repeated key parses to NULL.
     """
-    return v.cast("string")
+    return numbers_as_numbers(v.cast("string"))
 
 
 def id_field(v: Column) -> Column:
-    return F.try_variant_get(v, "$.id", "string").try_cast("bigint")
+    return _text_at(v, "$.id").try_cast("bigint")
 
 
 def channel_field(v: Column) -> Column:
-    return F.try_variant_get(v, "$.peer_id.channel_id", "string").try_cast("bigint")
+    return _text_at(v, "$.peer_id.channel_id").try_cast("bigint")
 
 
 def json_text(doc: Column, path: str) -> Column:
-    """``->>``: text at ``path`` of a parsed document; NULL for absent or JSON null."""
-    return F.variant_get(doc, path, "string")
+    """``->>``: text at ``path`` of a parsed document, a number's as written; NULL for absent or JSON null."""
+    return _text_at(doc, path, lenient=False)
 
 
 def strict_cast(text: Column, type_name: str) -> Column:

@@ -1,8 +1,8 @@
 """Declarative data tests: unique, not_null, relationships, and the mart suite.
 
-Each ``check_*`` returns the offending rows lazily; ``*_failures`` returns a
-one-row count.  ``run_checks`` evaluates the ten checks declared for the
-marts as one plan.
+Each ``check_*`` returns the offending rows lazily.  ``run_checks`` evaluates
+the ten checks declared for the marts as one plan; ``plans.check_state`` keeps
+the same counts up to date from what changed.
 """
 
 from __future__ import annotations
@@ -44,64 +44,11 @@ def check_relationship(child: DataFrame, column: str, parent: DataFrame, parent_
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti").select(*child.columns)
 
 
-def _one_row(df: DataFrame, table: str, column: str, check: str, failures) -> DataFrame:
-    return df.agg(failures.cast("long").alias("failures")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(check).alias("check_name"),
-        "failures",
-    )
-
-
 def key_counts(df: DataFrame, column: str) -> DataFrame:
     """(value, n_records) for every non-NULL value: partial aggregation before the shuffle."""
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def unique_failures(df: DataFrame, column: str, table: str = "", counts: DataFrame | None = None) -> DataFrame:
-    """Number of values held by more than one row (one row per failing value, as the test reports)."""
-    counts = key_counts(df, column) if counts is None else counts
-    return _one_row(counts.filter(F.col("n_records") > 1), table, column, "unique", F.count(F.lit(1)))
-
-
-def not_null_failures(df: DataFrame, column: str, table: str = "") -> DataFrame:
-    return _one_row(df, table, column, "not_null", F.count_if(F.col(column).isNull()))
-
-
-def not_null_failures_many(df: DataFrame, columns, table: str = "") -> DataFrame:
-    """Not-null failures for several columns of one table in a single scan, one row per column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(f"_n{i}") for i, c in enumerate(columns)])
-    pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(columns))
-    return counts.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, failures)").select(
-        F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("check_name"), "failures"
-    )
-
-
-def relationship_failures(
-    child: DataFrame,
-    column: str,
-    parent: DataFrame,
-    parent_column: str,
-    table: str = "",
-    child_counts: DataFrame | None = None,
-    parent_keys: DataFrame | None = None,
-) -> DataFrame:
-    """Number of orphan child rows.
-
-    Child keys are pre-aggregated to (key, rows) before they meet the parent,
-    so the join shuffles one row per distinct key, and a key held by a third
-    of the child rows is one row by then.  The orphan test is a left join
-    plus a NULL filter: unlike an anti-join, the optimizer does not move it
-    below the pre-aggregation.
-    """
-    per_key = key_counts(child, column) if child_counts is None else child_counts
-    if parent_keys is None:
-        parent_keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    hits = parent_keys.select(column, F.lit(True).alias("_hit"))
-    orphans = per_key.join(hits, column, "left").filter(F.col("_hit").isNull())
-    return _one_row(orphans, table, column, "relationships", F.coalesce(F.sum("n_records"), F.lit(0)))
-
-
 # The declared mart tests, in declaration order.
 MART_CHECKS = (
     ("fct_messages", "message_id", "unique"),

@@ -21,10 +21,11 @@ def filter_channels(df: DataFrame, channels: Iterable | DataFrame, column: str =
 
     A Python list becomes an IN-list (pushed to the scan); an allow-list held
     in a DataFrame is applied as a semi-join, so it never passes through the
-    driver.
+    driver.  The join needs no distinct list, and with no aggregate between
+    shuffle and join a hot channel's partition can be split.
     """
     if isinstance(channels, DataFrame):
-        allowed = channels.select(F.col(channels.columns[0]).alias(column)).distinct()
+        allowed = channels.select(F.col(channels.columns[0]).alias(column))
         return df.join(allowed, column, "left_semi").select(*df.columns)
     return df.filter(F.col(column).isin(list(channels)))
 

@@ -96,13 +96,17 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The message files with one fault each, by message number modulo 12; 0, 10 and 11 stay loadable."""
+    """The message files with one fault each, by message number modulo 12; 0, 10 and 11 stay loadable.
+
+    0 has a repeated key, whose last value counts; 11 a number with a fraction where the staging model wants an integer.
+    """
     files = message_files(spark, sf_dir)
     number = F.regexp_extract("file_path", r"/(\d+)\.json$", 1).cast("bigint")
     value = F.col("value")
     own_id = F.concat(F.lit('"id":'), number.cast("string"), F.lit(","))
     rest = F.expr("substring(value, 2)")
     broken = {
+        0: F.concat(F.lit('{"id":1.5,"peer_id":7,'), rest),
         1: F.concat(value, F.lit(' {"id":1}')),
         2: F.concat(F.lit("["), value, F.lit("]")),
         3: F.replace(value, F.lit('"peer_id":{'), F.lit('"peer_id":"x","peer":{')),
@@ -113,6 +117,7 @@ def faulty_message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         8: F.concat(F.lit('{"x":"\\ud83d\\\\\\ude00",'), rest),
         9: F.expr("substring(value, 1, length(value) - 1)"),
         10: F.concat(F.lit('{"x":"\\ud83d\\ude00 \\\\ud83d",'), rest),
+        11: F.concat(F.lit('{"views":1.0,'), F.replace(rest, F.lit('"views":'), F.lit('"seen":'))),
     }
     fault = F.pmod(number, F.lit(12))
     planted = value

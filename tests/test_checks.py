@@ -49,7 +49,8 @@ def test_run_checks(tables):
 
 
 def test_relationship_hot_key_counts_all_rows(spark):
-    child = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, 42, id) AS k")
-    parent = spark.range(1, 3000).selectExpr("id AS k").filter("k <> 42")
-    row = C.relationship_failures(child, "k", parent, "k").first()
-    assert row["failures"] == 1000
+    boxes = spark.range(3000).selectExpr("id AS detection_id", "IF(id % 3 = 0, 42, id) AS message_id")
+    fct = spark.range(1, 3000).selectExpr("id AS message_id", "1L AS channel_id").filter("message_id <> 42")
+    dim = spark.range(1, 2).selectExpr("id AS channel_id")
+    lost = C.run_checks(fct, dim, boxes).filter("check_name = 'relationships' AND table_name = 'fct_image_detections'").first()
+    assert lost["failures"] == 1000

@@ -1,5 +1,7 @@
 """Reject reasons for literal message files (one object per file)."""
 
+import json
+
 import pytest
 
 from chanmart.operators import ingest as I
@@ -21,6 +23,15 @@ CASES = [
     ('{"id":0.0}', "missing_id", None, None),
     ('{"id":1.5}', "bad_id", None, None),
     ('{"id":true}', "bad_id", None, None),
+    ('{"id":1.0}', "bad_id", None, None),
+    ('{"id":1E0}', "bad_id", None, None),
+    ('{"id":-0}', "missing_id", None, None),
+    ('{"id":0e7}', "missing_id", None, None),
+    ('{"id":01}', "bad_json", None, None),
+    ('{"id":1.}', "bad_json", None, None),
+    ('{"id":-}', "bad_json", None, None),
+    ('{"id":"\\u0001n5"}', "bad_id", None, None),
+    ('{"id":12345678901234567890}', "bad_id", None, None),
     ('{"id":"abc"}', "bad_id", None, None),
     ('{"id":[1]}', "bad_id", None, None),
     ('{"id":1,"peer_id":{"channel_id":"x"}}', "bad_channel", None, None),
@@ -69,6 +80,20 @@ def test_duplicate_keys_last_wins_in_raw_data(classified):
     assert classified[f"f{i}.json"]["raw_data"] == '{"id":3}'
 
 
+def test_numbers_are_kept_as_written(spark):
+    texts = [
+        '{"id":1,"views":1.0,"list":[1,2.50,-3e5,{"c":0}],"s":"x 1.0 \\" 2 \\\\"}',
+        '{"id":2,"a":"\\u00011.0","b":"\\u0001n5","c":"\\\\u0001n7","d":"q\\"\\u0001n5\\"","e":"\\u0001\\u0001s"}',
+        '{"id":3,"n":123456789012345678901234567890.10,"x":"' + "\\\\" * 50_000 + '"}',
+        '{"id":4,"many":[' + ",".join(f'"s{i}"' for i in range(20_000)) + ",1.10]}",
+    ]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "file_path string, value string")
+    got = {r["file_path"]: r["raw_data"] for r in I.classify_messages(df).collect()}
+    for i, t in enumerate(texts):
+        as_text = lambda x: json.loads(x, parse_float=str, parse_int=str)
+        assert as_text(got[str(i)]) == as_text(t)
+
+
 def test_split_valid_and_rejects(spark):
     df = spark.createDataFrame([("a.json", '{"id":5}'), ("b.json", "{bad")], "file_path string, value string")
     valid, rejects = I.split_valid_messages(df)

@@ -44,6 +44,15 @@ def test_staging_cast_is_strict(spark):
             S.stg_telegram_messages(raw).collect()
 
 
+def test_a_number_with_a_fraction_is_no_integer(spark):
+    """As ``'1.0'::integer`` fails in the warehouse; text and whole numbers pass as written."""
+    ok = S.stg_telegram_messages(_raw(spark, ['{"id":1,"views":10,"message":1.50}', '{"id":"2","message":"\\u0001n7"}'])).collect()
+    assert [(r["message_id"], r["view_count"], r["message_text"]) for r in ok] == [(1, 10, "1.50"), (2, None, "\x01n7")]
+    for views in ("1.0", "1e0", "12345678901"):
+        with pytest.raises(Exception, match="not a int"):
+            S.stg_telegram_messages(_raw(spark, [f'{{"id":1,"views":{views}}}'])).collect()
+
+
 def _stg(spark, rows):
     return spark.createDataFrame(
         rows, "message_id long, channel_id long, message_posted_at timestamp_ntz, message_text string"
