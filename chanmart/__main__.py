@@ -86,6 +86,7 @@ def main(argv=None) -> int:
 
     from chanmart.operators import reports as R
     from chanmart.plans import jobs as P
+    from chanmart.plans.search_index import search_messages_indexed
     from chanmart.sources import tables as TB
 
     spark = _session()
@@ -115,7 +116,7 @@ def main(argv=None) -> int:
     elif args.cmd == "report":
         fct = TB.read_table(spark, args.root, TB.FCT_MESSAGES)
         if args.name == "search":
-            _print_rows(R.search_messages(fct, args.arg or ""))
+            _print_rows(search_messages_indexed(spark, args.root, args.arg or ""))
         elif args.name == "top-products":
             n = int(args.arg or R.TOP_LIMIT)
             if TB.table_exists(spark, args.root, TB.RPT_WORD_COUNTS):

@@ -24,16 +24,20 @@ def is_product_word(word: Column) -> Column:
     return (F.length(word) > MIN_WORD_CHARS) & ~word.isin(*STOP_WORDS)
 
 
-def contains_ci(text: Column, query: str) -> Column:
-    """Case-insensitive substring match with ILIKE semantics.
+def ilike_pattern(query: str) -> str:
+    """The ILIKE pattern ``%query%`` as Spark takes it.
 
-    ``%`` and ``_`` in the query stay wildcards and ``\\`` escapes, as in a
-    ``%query%`` ILIKE pattern.  A backslash before any other character stands
-    for that character alone; Spark's pattern refuses one there, so it is
-    dropped.
+    ``%`` and ``_`` in the query stay wildcards and ``\\`` escapes.  A backslash
+    before any other character stands for that character alone; Spark's
+    pattern refuses one there, so it is dropped.
     """
     query = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], query, flags=re.DOTALL)
-    return text.ilike(f"%{query}%")
+    return f"%{query}%"
+
+
+def contains_ci(text: Column, query: str) -> Column:
+    """Case-insensitive substring match with ILIKE semantics (see ``ilike_pattern``)."""
+    return text.ilike(ilike_pattern(query))
 
 
 def char_length(text: Column) -> Column:

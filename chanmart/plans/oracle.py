@@ -228,8 +228,19 @@ ORACLE_SQL = {
         "AS already_loaded, "
         "CAST(COUNT(*) FILTER (WHERE doc_id = 0) AS BIGINT) AS rejected FROM files"
     ),
+    "enrich_images": _q(
+        "SELECT DISTINCT doc_id AS message_id, concat('class_', label) AS detected_object_class, "
+        "CAST(CAST(abs(CAST(floor(CAST(embedding[1] AS DOUBLE) * 1000) AS BIGINT)) % 1000 / 1000.0 AS FLOAT) AS DOUBLE) AS confidence_score, "
+        "list_transform(embedding[2:5], lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000) AS DOUBLE)) AS bounding_box "
+        f"FROM embeddings JOIN messages ON doc_id = vec_id // 2 WHERE event_type IN ('view', 'purchase') AND doc_id % {Q.SPOILT_EVERY} <> 3"
+    ),
+    "land_and_load": _q("SELECT file_path, doc_id AS message_id, channel_id FROM files WHERE doc_id <> 0"),
+    "stream_load": _q("SELECT file_path, doc_id AS message_id, channel_id, substr(CAST(ts AS VARCHAR), 1, 10) AS lake_date FROM files WHERE doc_id <> 0"),
+    "search_messages_indexed": _q(
+        "SELECT message_id, message_text, channel_id, message_posted_at FROM fct "
+        f"WHERE message_text ILIKE '%{Q.RARE_TERM}%' "
+        "ORDER BY message_posted_at DESC NULLS FIRST, message_id LIMIT 100"
+    ),
 }
-
-# The rollup forms answer the same questions from partial counts.
-ORACLE_SQL["top_products_rollup"] = ORACLE_SQL["top_products"]
-ORACLE_SQL["channel_activity_rollup"] = ORACLE_SQL["channel_activity"]
+ORACLE_SQL["fct_image_detections_incremental"] = ORACLE_SQL["fct_image_detections"]
+ORACLE_SQL["run_checks_incremental"] = ORACLE_SQL["run_checks"]

@@ -19,10 +19,16 @@ from chanmart.operators import enrich as E
 from chanmart.operators import ingest as I
 from chanmart.operators import lake_rules as L
 from chanmart.operators import reports as R
+from chanmart.plans import check_state as CI
+from chanmart.plans import jobs as P
 from chanmart.plans import marts as M
+from chanmart.plans import search_index as SI
 from chanmart.plans import staging as S
+from chanmart.session import importable_in_workers, shared_folder
 from chanmart.sources import fixtures as FX
 from chanmart.sources import lake as LK
+from chanmart.sources import tables as TB
+from chanmart.streaming.ingest_stream import ingest_stream
 
 # Query parameters shared with the SQL oracles.
 AS_OF = "2024-01-20"
@@ -30,6 +36,8 @@ AS_OF = "2024-01-20"
 AS_OF_FULL = "2030-06-30"
 SEARCH_TERM = "the"
 # Means t_e%ar: a backslash before a plain character stands for that character.
+# In few days' messages only.
+RARE_TERM = "than%OUEN"
 WILDCARD_TERM = "t_e%\\ar"
 ALLOWED_CHANNELS = (1002, 1005, 1011)
 CHANNEL_ID = 1003
@@ -250,6 +258,110 @@ def ingest_stats(spark, sf_dir):
     return I.ingest_stats(classified, existing)
 
 
+# --- whole jobs: landed, loaded, built and read back -----------------------------
+# These write a lake or a warehouse under the session's shared checkpoint folder,
+# run the jobs over it, and return what is in it then.
+
+
+def _photo_files(spark, sf_dir):
+    """(file_path, value): the photo messages' image files, whose bytes tell a stand-in detector what is to be seen."""
+    m = FX.message_events(spark, sf_dir).filter(F.col("event_type").isin(*FX.PHOTO_EVENTS))
+    e = FX.read_input(spark, sf_dir, "embeddings")
+    numbers = F.transform(F.slice("embedding", 1, 5), lambda x: F.floor(x * 1000).cast("string"))
+    boxes = e.select(F.expr("vec_id DIV 2").alias("doc_id"), F.concat_ws(" ", "label", F.array_join(numbers, " ")).alias("box"))
+    seen = boxes.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("box")), "\n").alias("boxes"))
+    spoilt = F.col("doc_id") % SPOILT_EVERY == 3
+    text = F.when(spoilt, "BAD").otherwise(F.coalesce("boxes", F.lit("")))
+    return m.join(seen, "doc_id", "left").select(LK.image_file_path(F.substring(F.col("ts").cast("string"), 1, 10), F.col("doc_id")).alias("file_path"), text.alias("value"))
+
+
+# Every so many'th image can't be decoded.
+SPOILT_EVERY = 7
+
+
+def box_reader():
+    """A detector that reads its boxes from the image's bytes: class, confidence in thousandths, corners."""
+
+    def detect(path, data):
+        if data == b"BAD":
+            raise ValueError("cannot decode")
+        for line in data.decode().splitlines():
+            label, confidence, *box = line.split(" ")
+            yield f"class_{label}", abs(int(confidence)) % 1000 / 1000, [float(x) for x in box]
+
+    return detect
+
+
+def enrich_images(spark, sf_dir):
+    """S8, F8 to F12, S9: image files landed, listed, dealt to the detector by size, boxes stored once (the second run adds none)."""
+    base = shared_folder(spark, "registered-images")
+    importable_in_workers(spark)
+    LK.write_message_files(_photo_files(spark, sf_dir), base)
+    for _ in range(2):
+        P.enrich_images(spark, f"{base}/images", f"{base}/warehouse", box_reader)
+    boxes = TB.read_table(spark, f"{base}/warehouse", TB.RAW_IMAGE_DETECTIONS)
+    return _double_confidence(boxes.select("message_id", "detected_object_class", "confidence_score", "bounding_box"))
+
+
+def _landing(spark, sf_dir):
+    """The message files as rows to land: date, channel folder, id, payload."""
+    part = lambda k: F.element_at(F.split("file_path", "/"), k)
+    number = F.regexp_extract("file_path", r"/(\d+)\.json$", 1).cast("long")
+    return FX.message_files(spark, sf_dir).select(number.alias("message_id"), part(-2).alias("channel"), part(-3).alias("message_date"), F.col("value").alias("payload"))
+
+
+def land_and_load(spark, sf_dir):
+    """S6, S3 to S5: messages landed in two overlapping runs, each once; loaded in two runs, each once."""
+    base = shared_folder(spark, "registered-lake")
+    rows = _landing(spark, sf_dir)
+    for part in (rows.filter(F.col("message_date") < PREVIOUS_RUN_BEFORE), rows):
+        LK.write_partitioned_lake(part, f"{base}/lake")
+        P.load_message_batch(spark, LK.read_landed_messages(spark, f"{base}/lake"), f"{base}/warehouse")
+    return TB.read_table(spark, f"{base}/warehouse", TB.RAW_MESSAGES).select("file_path", "message_id", "channel_id")
+
+
+def stream_load(spark, sf_dir):
+    """S1, S6, S7: one file a message, found by the date cursor in two runs of the stream."""
+    base = shared_folder(spark, "registered-stream")
+    importable_in_workers(spark)
+    files = FX.message_files(spark, sf_dir)
+    for part in (files.filter(_file_date() < PREVIOUS_RUN_BEFORE), files):
+        LK.write_message_files(part, f"{base}/lake")
+        ingest_stream(spark, f"{base}/lake", f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
+    raw = TB.read_table(spark, f"{base}/warehouse", TB.RAW_MESSAGES)
+    return raw.select(F.regexp_extract("file_path", r"(telegram_messages/.*)$", 1).alias("file_path"), "message_id", "channel_id", "lake_date")
+
+
+def _built_in_two_runs(spark, sf_dir):
+    """A warehouse loaded, enriched and built up to one day, checked, then the same with the rest."""
+    root = shared_folder(spark, "registered-warehouse")
+    files, boxes = FX.message_files(spark, sf_dir), FX.raw_image_detections(spark, sf_dir)
+    early = F.col("id") % 3 == 0
+    for messages, detections, as_of in ((files.filter(_file_date() < PREVIOUS_RUN_BEFORE), boxes.filter(early), PREVIOUS_RUN_BEFORE), (files, boxes.filter(~early), AS_OF)):
+        P.load_message_batch(spark, messages, root)
+        TB.write_table(detections, root, TB.RAW_IMAGE_DETECTIONS, "append", ["image_date"])
+        P.build_marts(spark, root, as_of)
+        checks = CI.run_checks_incremental(spark, root)
+    return root, checks
+
+
+def fct_image_detections_incremental(spark, sf_dir):
+    root, _ = _built_in_two_runs(spark, sf_dir)
+    return _double_confidence(TB.read_table(spark, root, TB.FCT_IMAGE_DETECTIONS).drop("bucket"))
+
+
+def run_checks_incremental(spark, sf_dir):
+    return _built_in_two_runs(spark, sf_dir)[1]
+
+
+def search_messages_indexed(spark, sf_dir):
+    """The facts written by lake date, indexed, and searched through the index."""
+    root = shared_folder(spark, "registered-search")
+    TB.write_table(_fct_by_lake_date(spark, sf_dir), root, TB.FCT_MESSAGES, partition_by=["lake_date"])
+    SI.build_search_index(spark, root)
+    return SI.search_messages_indexed(spark, root, RARE_TERM)
+
+
 QUERIES = {
     "stg_messages": stg_messages,
     "json_reject_missing_id": json_reject_missing_id,
@@ -282,4 +394,10 @@ QUERIES = {
     "check_relationship": check_relationship,
     "run_checks": run_checks,
     "ingest_stats": ingest_stats,
+    "enrich_images": enrich_images,
+    "land_and_load": land_and_load,
+    "stream_load": stream_load,
+    "fct_image_detections_incremental": fct_image_detections_incremental,
+    "run_checks_incremental": run_checks_incremental,
+    "search_messages_indexed": search_messages_indexed,
 }

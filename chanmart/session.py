@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -72,6 +73,14 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "chanmart", f"{name}-{uuid.uuid4().hex}")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """As ``staging_path``, for callers without a checkpoint folder too: local runs get a temporary one."""
+    local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="chanmart-") if local and not named else None)
+    return staging_path(spark, name)
+
+
 def local_session(app: str = "chanmart", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests, the bench and examples (UI off)."""
     builder = (

@@ -23,6 +23,7 @@ RPT_WORD_COUNTS = "rpt_word_counts"
 RPT_CHANNEL_DAYS = "rpt_channel_day_counts"
 MESSAGE_KEYS = "message_keys"
 CHECK_KEYS = "check_keys"
+SEARCH_INDEX = "search_index"
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

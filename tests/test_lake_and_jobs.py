@@ -186,6 +186,31 @@ def test_write_partitioned_lake_skips_existing(spark, scratch):
     ]
 
 
+def test_landing_knows_what_has_landed(spark, scratch, monkeypatch):
+    """By its own key log: the same frame again adds nothing, a writer that dies leaves neither messages nor keys."""
+    out = os.path.join(scratch, "landed")
+    row = lambda i, day: (i, "chana", day, json.dumps({"id": i}))
+    frame = lambda *rows: spark.createDataFrame(list(rows), "message_id long, channel string, message_date string, payload string")
+    first = frame(row(1, "2024-01-01"), row(2, "2024-01-01"), row(2, "2024-01-01"), row(3, "2024-01-02"))
+    assert LK.write_partitioned_lake(first, out).count() == 3
+    assert LK.write_partitioned_lake(first, out).count() == 0
+    paths = lambda: sorted(r["file_path"].split("/", 1)[1] for r in LK.read_landed_messages(spark, out).collect())
+    three = ["2024-01-01/chana/1.json", "2024-01-01/chana/2.json", "2024-01-02/chana/3.json"]
+    assert paths() == three
+    more = frame(row(3, "2024-01-02"), row(4, "2024-01-02"))
+    with monkeypatch.context() as patch:
+        patch.setattr(SN, "_commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            LK.write_partitioned_lake(more, out)
+    assert paths() == three and LK.landed_keys(spark, out).count() == 3
+    read, own = [], SN.read_snapshot
+    monkeypatch.setattr(SN, "read_snapshot", lambda s, r, n, parts=None, **k: read.append(parts) or own(s, r, n, parts, **k))
+    assert [r["message_id"] for r in LK.write_partitioned_lake(more, out).collect()] == [4]
+    assert read == [["message_date=2024-01-02"]]  # of the log, the batch's date alone
+    assert paths() == sorted([*three, "2024-01-02/chana/4.json"])
+    assert [r["file_path"][-6:] for r in LK.read_landed_messages(spark, out, ["2024-01-01"]).orderBy("file_path").collect()] == ["1.json", "2.json"]
+
+
 def test_enrich_stream_processes_new_images_once(spark, scratch):
     root = os.path.join(scratch, "wh")
     images = os.path.join(scratch, "images")
