@@ -85,6 +85,18 @@ def byte_texts(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def few_texts(texts: list[bytes], most: int):
+    """Ranges of texts of about ``most`` bytes together, so that memory does not follow the batch."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     """The batch with one column's values replaced, its name, place and type kept."""
     at = batch.schema.get_field_index(name)

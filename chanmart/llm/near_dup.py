@@ -45,9 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanmart.llm import bloom
-from chanmart.llm.common import byte_texts, prepare, staged, tidy
+from chanmart.llm.common import byte_texts, few_texts, prepare, staged, tidy
 from chanmart.llm.decontaminate import words
-from chanmart.llm.packing import _few
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -150,7 +149,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw = byte_texts(batch.column(1))
-            for a, b in _few(raw, CHUNK_BYTES):
+            for a, b in few_texts(raw, CHUNK_BYTES):
                 elements, doc = unit_elements(raw[a:b])
                 keys = band_keys(dart_signatures(elements, doc, b - a)).astype(np.int64)
                 at = np.searchsorted(doc, np.arange(b - a + 1))
@@ -247,7 +246,7 @@ def _elements_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
         for batch in batches:
             batch = batch.filter(pa.array(maybe_in(sent, batch.column(0))))
             raw = byte_texts(batch.column(1))
-            for a, b in _few(raw, CHUNK_BYTES):
+            for a, b in few_texts(raw, CHUNK_BYTES):
                 elements, doc = unit_elements(raw[a:b])
                 at = np.searchsorted(doc, np.arange(b - a + 1))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([elements[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())], names=["id", "elements"])

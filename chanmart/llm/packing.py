@@ -21,6 +21,7 @@ kept; an empty table gives no pieces.
 from __future__ import annotations
 
 import os
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +30,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chanmart.llm.common import byte_texts, prepare, staged, tidy
+from chanmart.llm.common import flat_text, prepare, staged, tidy
 
 CAPACITY = 2048
 END_TOKEN = 0
 GROUP_ROWS = 200_000
-#: Words whose ids a worker remembers; the memory is dropped when it is full.
+#: Words whose ids a worker remembers; when the memory is full, those not met since it was full last are dropped.
 CACHE_WORDS = 600_000
+#: Bytes of text of one encoding step.
+STEP_BYTES = 4 << 20
 
 #: Words that the tokenizer sees as one text, the stretch that stands between them there, and texts of one call.
 WORDS_A_TEXT = 512
 MARK = b"\x01"
 TEXTS_A_CALL = 16
 
+#: ASCII letters, punctuation that the tokenizer always cuts off from a letter before it, and capitals.
+_LETTER, _CUT, _UPPER = (np.zeros(256, bool) for _ in range(3))
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_CUT[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_UPPER[0x41:0x5B] = True
+
 _coders: dict[str, "WordCoder"] = {}
 
 
@@ -52,6 +61,11 @@ class WordCoder:
     text are those of its stretches one after the other.  Only ASCII blanks
     cut: other spaces stay inside a stretch and are left to the tokenizer.
 
+    Nor does it join a letter with what is neither letter, digit, space nor
+    apostrophe, so a blank between the two changes nothing: one is put there,
+    and "word," and "word" share their memory (``cuts``: whether this tokenizer
+    is seen to do so).
+
     New stretches are encoded many at a time with ``MARK`` between them, where
     that is one token; stretches that hold it go alone.  If the tokenizer
     lower-cases, A-Z are lowered before the look-up, except in texts with
@@ -68,7 +82,18 @@ class WordCoder:
         letters = bytes(range(0x41, 0x5B)).decode()
         normalizer = self.tokenizer.normalizer
         self.lowers = normalizer is not None and normalizer.normalize_str(letters) == letters.lower()
-        self._forget()
+        signs = bytes(np.flatnonzero(_CUT).astype(np.uint8))
+        whole, cut = (self._ids([b" ".join(b"a" + blank + signs[i : i + 1] + b"b" for i in range(len(signs)))])[0] for blank in (b"", b" "))
+        self.cuts = np.array_equal(whole, cut)
+        self.cut = _CUT.copy()
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            # Not inside a special string, which the tokenizer takes as one.
+            text = np.frombuffer(token.content.encode(), np.uint8)
+            self.cut[text[1:][_LETTER[text[:-1]]]] = False
+        self.number: dict[bytes, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.start = np.zeros(1, np.int64)
+        self.met = np.zeros(0, bool)
 
     def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
         out = []
@@ -78,9 +103,16 @@ class WordCoder:
         return out
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.start = np.zeros(1, np.int64)
+        """Keep the words met since the last time."""
+        kept = np.flatnonzero(self.met)
+        lengths = np.diff(self.start)[kept]
+        ends = np.cumsum(lengths)
+        self.flat = self.flat[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - self.start[kept], lengths)]
+        self.start = np.concatenate([[0], ends])
+        place = np.full(len(self.met), -1)
+        place[kept] = np.arange(len(kept))
+        self.number = {w: int(place[i]) for w, i in self.number.items() if place[i] >= 0}
+        self.met = np.zeros(len(kept), bool)
 
     def _learn(self, new: list[bytes]) -> None:
         alone = [w for w in new if self.mark is None or MARK in w]
@@ -99,20 +131,45 @@ class WordCoder:
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(lengths))])
         self.number.update(zip(joined + alone, range(len(self.number), len(self.number) + len(new))))
 
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+    def _prepared(self, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts with A-Z lowered and blanks before cut-off signs: bytes and offsets."""
+        if self.lowers:
+            upper = np.flatnonzero(_UPPER[flat])
+            marks = np.flatnonzero((flat == 0xCC) | (flat == 0xCD))
+            if len(marks):
+                composed = np.zeros(len(at) - 1, bool)
+                composed[np.searchsorted(at, marks, "right") - 1] = True
+                upper = upper[~composed[np.searchsorted(at, upper, "right") - 1]]
+            if len(upper):
+                flat = flat.copy()
+                flat[upper] |= 0x20
+        if self.cuts and len(flat):
+            here = np.flatnonzero(_LETTER[flat[:-1]] & self.cut[flat[1:]]) + 1
+            flat = np.insert(flat, here, np.uint8(0x20))
+            # A blank at a text's first byte would stand behind the text before: of no effect there.
+            at = at + np.searchsorted(here, at, "left")
+        return flat, at
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, ``end`` after each, in one array, and where each text begins."""
         if len(self.number) > CACHE_WORDS:
             self._forget()
-        if self.lowers:
-            texts = [t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts]
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        flat, at = self._prepared(*flat_text(texts))
+        n = len(at) - 1
+        whole = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(flat)])
+        split = pc.ascii_split_whitespace(whole)
         words_before = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
-        words = byte_texts(coded.dictionary)
-        new = [w for w in words if w not in self.number]
-        if new:
+        words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        index = np.array([self.number.get(w, -1) for w in words], np.int64)
+        unknown = np.flatnonzero(index < 0)
+        if len(unknown):
+            new = [words[i] for i in unknown]
             self._learn(new)
-        index = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+            index[unknown] = [self.number[w] for w in new]
+            self.met = np.concatenate([self.met, np.zeros(len(self.number) - len(self.met), bool)])
+        self.met[index] = True
+        index = index[coded.indices.to_numpy()]
         lengths = self.start[index + 1] - self.start[index]
         word_ends = np.concatenate([[0], np.cumsum(lengths)])
         flat = self.flat[np.arange(word_ends[-1]) - np.repeat(word_ends[:-1] - self.start[index], lengths)]
@@ -127,30 +184,41 @@ def _coder(path: str) -> WordCoder:
     return _coders[path]
 
 
-def _few(texts: list[bytes], most: int = 2 << 20):
+def _few(texts: pa.Array, most: int = STEP_BYTES):
     """Ranges of texts of about ``most`` bytes together, so that memory does not follow the batch."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_token: int = END_TOKEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per piece: ``id_col``, piece, start, length and ids (little-endian unsigned 32-bit, as binary)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = min(len(texts), int(np.searchsorted(ends, before + most, "left")) + 1)
+        yield start, stop
+        start = stop
+
+
+def token_pieces(
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = CAPACITY,
+    end_token: int = END_TOKEN,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    checksum: bool = False,
+) -> DataFrame:
+    """Per piece: ``id_col``, piece, start, length and ids (little-endian unsigned 32-bit, as binary).
+
+    ``checksum``: instead of the ids their CRC-32 (``ids_crc32``), so that only numbers leave the task.
+    """
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col))
-    schema = T.StructType([texts.schema[0], *(T.StructField(n, t) for n, t in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType())))])
+    last = ("ids_crc32", T.LongType()) if checksum else ("ids", T.BinaryType())
+    schema = T.StructType([texts.schema[0], *(T.StructField(n, t) for n, t in (("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), last))])
+    names = schema.fieldNames()
 
     def cut(batches):
         coder = _coder(tokenizer_path)
         for batch in batches:
-            raw = byte_texts(batch.column(1))
-            for a, b in _few(raw):
-                ids, starts = coder.encode(raw[a:b], end_token)
+            for a, b in _few(batch.column(1)):
+                ids, starts = coder.encode(batch.column(1).slice(a, b - a), end_token)
                 lengths = np.diff(starts)
                 pieces = -(-lengths // capacity)
                 doc = np.repeat(np.arange(b - a), pieces)
@@ -158,10 +226,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                 start = piece * capacity
                 length = np.minimum(lengths[doc] - start, capacity)
                 bounds = np.concatenate([starts[doc] + start, ids.shape]).astype(np.int64) * 4
-                blob = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
+                flat = memoryview(ids.astype("<u4")).cast("B")
+                if checksum:
+                    found = pa.array([zlib.crc32(flat[i:j]) for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.int64())
+                else:
+                    found = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(flat)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(doc + a)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), blob.cast(pa.binary())],
-                    names=[id_col, "piece", "start", "length", "ids"],
+                    [batch.column(0).take(pa.array(doc + a)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), found], names=names
                 )
 
     return texts.mapInArrow(tidy(cut), schema)
@@ -232,8 +303,7 @@ def tokenizer_path() -> str:
 
 def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of the documents with their place; ids are reduced to their checksum before anything moves."""
-    pieces = token_pieces(docs, path or tokenizer_path(), capacity)
-    return pack_pieces(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    return pack_pieces(token_pieces(docs, path or tokenizer_path(), capacity, checksum=True), capacity)
 
 
 def op1_best_fit_packing(spark, sf_dir: str) -> DataFrame:

@@ -48,8 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chanmart.llm import bloom
-from chanmart.llm.common import byte_texts, prepare, staged, tidy
-from chanmart.llm.packing import _few
+from chanmart.llm.common import byte_texts, few_texts, prepare, staged, tidy
 
 LENGTH = 200
 GRAM = 64
@@ -436,7 +435,7 @@ def _hot_places(texts: DataFrame, hot, length: int, gram: int, most: int) -> Dat
 
         for batch in batches:
             raw = byte_texts(batch.column(0))
-            for a, b in _few(raw, CHUNK_BYTES):
+            for a, b in few_texts(raw, CHUNK_BYTES):
                 text, at, h = anchors(raw[a:b], length, gram)
                 keep = np.isin(h, hot.value)
                 digests: dict[int, bytes] = {}
@@ -484,7 +483,7 @@ def repeated_spans(
         seen, frequent = bloom.SeenTwice(bits), Frequent()
         for batch in batches:
             raw = byte_texts(batch.column(0))
-            for a, b in _few(raw, CHUNK_BYTES):
+            for a, b in few_texts(raw, CHUNK_BYTES):
                 found = anchors(raw[a:b], length, gram)[2]
                 if len(found):
                     seen.add(found)
@@ -514,7 +513,7 @@ def repeated_spans(
 
         for batch in batches:
             raw = byte_texts(batch.column(0))
-            for a, b in _few(raw, CHUNK_BYTES):
+            for a, b in few_texts(raw, CHUNK_BYTES):
                 text, at, h = anchors(raw[a:b], length, gram)
                 keep = bloom.probe(twice.value, h, bits) if len(h) else np.zeros(0, bool)
                 if len(hot.value):

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,12 +62,31 @@ def test_packing_wastes_little(spark):
     assert len(used) <= 1.02 * -(-lengths.sum() // 2048)
 
 
+def test_sum_of_squares_follows_the_rule():
+    """Against the rule carried out with plain lists: every open sequence is tried."""
+    rng = np.random.default_rng(12)
+    for capacity in (7, 20, 64):
+        lengths = rng.integers(1, capacity, 200)
+        sequence, offset = packing.sum_of_squares(lengths, capacity)
+        gaps, squares = [], lambda g: sum(v * v for k, v in Counter(g).items() if 0 < k < capacity)
+        for i in np.argsort(-lengths, kind="stable"):
+            size, place = int(lengths[i]), int(sequence[i])
+            best = min(((squares([*gaps[:k], g - size, *gaps[k + 1 :]]), g - size) for k, g in enumerate(gaps) if g >= size), default=None)
+            if best is None:
+                assert place == len(gaps) and offset[i] == 0
+                gaps.append(capacity - size)
+            else:
+                assert offset[i] == capacity - gaps[place] and gaps[place] - size == best[1]
+                gaps[place] -= size
+                assert squares(gaps) == best[0]
+
+
 def test_packing_keeps_special_strings_and_odd_spaces(spark):
     from tokenizers import Tokenizer
 
     texts = ["a <|endoftext|>b", "it's  don't x y", "İstanbul ﬁ é é", "a,.b 12 3", "x\x1cy"]
     coder, plain = packing.WordCoder(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
-    ids, at = coder.encode([t.encode() for t in texts], 0)
+    ids, at = coder.encode(pa.array(texts), 0)
     for i, t in enumerate(texts):
         assert ids[at[i] : at[i + 1]].tolist() == [*plain.encode(t, add_special_tokens=False).ids, 0]
 
@@ -76,10 +96,16 @@ def test_word_coder_equals_the_tokenizer_on_marks_blanks_and_combining_letters()
 
     rng = np.random.default_rng(3)
     parts = ["a", "A", "J\u030c", "H\u0331", "\x01", "İ", "Σ", "\u1100", "\u1161", "\u212a", " ", "\n", "\u2003", "\x0b", "'S", "'", "9", "!", "\x00", "\x85", "\u0301"]
+    parts += ["bc", ".", ",", "%%%", "|", "<|endoftext|>", "n't", "É", "-", "z\u0301."]
     texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(5000)] + ["", " ", "\x01", "a \x01 b"]
     coder, plain = packing.WordCoder(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
-    for _ in range(2):  # learned, then remembered
-        ids, at = coder.encode([t.encode() for t in texts], 0)
+    assert coder.cuts
+    for k in range(4):  # learned, remembered, then half forgotten
+        if k == 2:
+            coder.encode(pa.array(texts[:1000]), 0)
+            coder._forget()
+            assert 0 < len(coder.number) == len(coder.met) == len(coder.start) - 1
+        ids, at = coder.encode(pa.array(texts), 0)
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
 
 
