@@ -23,7 +23,8 @@ matter; a pair of Bloom filters finds those (a passing single is harmless).
    the anchor, again and again, each half keyed by the bytes all its strings
    have, equal surroundings kept once, until a key's group is small
    (``hot_spans``), so no task holds a group that grows with the input;
-5. the covered bytes, by text digest, are united and cut out.  Texts that no
+5. the covered bytes of a text are united, in the task that finds them and
+   again by parts of all texts (by digest), and cut out.  Texts that no
    span can concern (a Bloom filter of the digests) aren't shuffled.
 
 Places are named by text digest, so exact copies of a text are one place with
@@ -286,7 +287,57 @@ def repeated_parts(shared: list[int], suffixes: list[bytes], befores: list[bytes
     return spans
 
 
-SPANS = "digest binary, first long, last long"
+#: Covered spans on their way: those of a part of all texts (by digest), packed.
+SPANS = "part int, spans binary"
+_SPAN = np.dtype([("a", "<u8"), ("b", "<u8"), ("first", "<i8"), ("last", "<i8")])  # a and b: the digest
+#: Spans that a task holds before it unites and sends them.
+HELD_SPANS = 200_000
+
+
+def span_array(digests: bytes, first, last) -> np.ndarray:
+    """``_SPAN`` rows of 16-byte digests, one after the other, and their spans."""
+    out = np.empty(len(digests) // 16, _SPAN)
+    both = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+    out["a"], out["b"], out["first"], out["last"] = both[:, 0], both[:, 1], first, last
+    return out
+
+
+def united(spans: np.ndarray) -> np.ndarray:
+    """Spans by text and place, those of a text that touch made one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans["first"], spans["b"], spans["a"]))]
+    new = np.concatenate([[True], (spans["a"][1:] != spans["a"][:-1]) | (spans["b"][1:] != spans["b"][:-1])])
+    # Texts one behind the other, so that one running maximum serves all.
+    base = (np.cumsum(new) - 1) * (int(spans["last"].max()) + 2)
+    ends = np.maximum.accumulate(spans["last"] + base)
+    starts = np.flatnonzero(np.concatenate([[True], (spans["first"] + base)[1:] > ends[:-1]]))
+    out = spans[starts]
+    out["last"] = (ends - base)[np.concatenate([starts[1:] - 1, [len(spans) - 1]])]
+    return out
+
+
+def span_batch(spans: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row for each part of the texts that the spans are of."""
+    spans = united(spans)
+    part = (spans["a"] % np.uint64(parts)).astype(np.int64)
+    spans, part = spans[np.argsort(part, kind="stable")], np.sort(part)
+    at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    pack = zstandard.ZstdCompressor(level=1)
+    blobs = [pack.compress(spans[i:j].tobytes()) for i, j in zip(at, [*at[1:], len(spans)])]
+    return pa.RecordBatch.from_arrays([pa.array(part[at], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "spans"])
+
+
+def spans_of_texts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, spans) of one part's texts: all that was found of them, united."""
+    unpack = zstandard.ZstdDecompressor()
+    found = [np.frombuffer(unpack.decompress(x), _SPAN) for batch in batches for x in batch.column("spans").to_pylist()]
+    spans = united(np.concatenate(found) if found else np.zeros(0, _SPAN))
+    new = np.flatnonzero(np.concatenate([[True], (spans["a"][1:] != spans["a"][:-1]) | (spans["b"][1:] != spans["b"][:-1])])) if len(spans) else np.zeros(0, np.int64)
+    digests = np.stack([spans["a"][new], spans["b"][new]], axis=1).astype("<u8").tobytes()
+    of = pa.StructArray.from_arrays([pa.array(spans["first"]), pa.array(spans["last"])], names=["first", "last"])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([new, [len(spans)]]), pa.int32()), of)
+    yield pa.RecordBatch.from_arrays([pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(new), [None, pa.py_buffer(digests)]).cast(pa.binary()), lists], names=["digest", "spans"])
 
 
 def _bucket_spans(runs, length: int, gram: int):
@@ -420,8 +471,8 @@ def hot_spans(contexts: DataFrame, length: int, gram: int, most: int) -> DataFra
     return out
 
 
-def _hot_places(texts: DataFrame, hot, length: int, gram: int, most: int) -> DataFrame:
-    """(digest, first, last) of the places of the hot grams (a broadcast, sorted array)."""
+def _hot_places(texts: DataFrame, hot, length: int, gram: int, most: int, parts: int) -> DataFrame:
+    """``SPANS`` of the places of the hot grams (a broadcast, sorted array)."""
     before = length - gram
 
     @tidy
@@ -455,12 +506,19 @@ def _hot_places(texts: DataFrame, hot, length: int, gram: int, most: int) -> Dat
 
     @tidy
     def spread(batches):
+        held, n = [], 0
         for batch in batches:
             for places, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 at = np.frombuffer(places, np.dtype([("digest", "V16"), ("at", "<i8")]))
+                digests = at["digest"].tobytes()
                 for x, y in _merged(spans):
-                    digests = pa.Array.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(at["digest"].tobytes())]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([digests, pa.array(at["at"] + x), pa.array(at["at"] + y)], names=["digest", "first", "last"])
+                    held.append(span_array(digests, at["at"] + x, at["at"] + y))
+                    n += len(at)
+                if n >= HELD_SPANS:
+                    yield span_batch(np.concatenate(held), parts)
+                    held, n = [], 0
+        if held:
+            yield span_batch(np.concatenate(held), parts)
 
     # a task's places of the same surroundings are one row, so common surroundings are a row a task
     found = staged(texts.mapInArrow(places, "s binary, b binary, places binary, n long"), "hot-places")
@@ -542,20 +600,21 @@ def repeated_spans(
         rows: list[tuple] = []
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))], names=["digest", "first", "last"])
+            digests, first, last = zip(*rows)
+            return span_batch(span_array(b"".join(digests), first, last), buckets)
 
         for row in _bucket_spans(blobs, length, gram):
             rows.append(row)
-            if len(rows) >= 100_000:
+            if len(rows) >= HELD_SPANS:
                 yield out()
                 rows.clear()
-        yield out()
+        if rows:
+            yield out()
 
     found = sent.groupBy("bucket").applyInArrow(merge, SPANS)
     if len(hot.value):
-        found = found.unionByName(_hot_places(texts, hot, length, gram, hot_places))
-    one = found.groupBy("digest").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
-    return one
+        found = found.unionByName(_hot_places(texts, hot, length, gram, hot_places, buckets))
+    return found.groupBy("part").applyInArrow(spans_of_texts, "digest binary, spans array<struct<first:long,last:long>>")
 
 
 def _digest_hash(digests: list[bytes]) -> np.ndarray:
