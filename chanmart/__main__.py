@@ -87,6 +87,7 @@ def main(argv=None) -> int:
     from chanmart.operators import reports as R
     from chanmart.plans import jobs as P
     from chanmart.plans.search_index import search_messages_indexed
+    from chanmart.plans.top_words import top_products_bounded
     from chanmart.sources import tables as TB
 
     spark = _session()
@@ -119,8 +120,8 @@ def main(argv=None) -> int:
             _print_rows(search_messages_indexed(spark, args.root, args.arg or ""))
         elif args.name == "top-products":
             n = int(args.arg or R.TOP_LIMIT)
-            if TB.table_exists(spark, args.root, TB.RPT_WORD_COUNTS):
-                _print_rows(R.top_products_from_rollup(TB.read_table(spark, args.root, TB.RPT_WORD_COUNTS), n))
+            if TB.table_exists(spark, args.root, TB.RPT_PERIOD_WORDS):
+                _print_rows(top_products_bounded(spark, args.root, n))
             else:  # a warehouse built without rollups: count from the facts
                 _print_rows(R.top_products(fct, n))
         elif args.name == "activity":

@@ -244,3 +244,4 @@ ORACLE_SQL = {
 }
 ORACLE_SQL["fct_image_detections_incremental"] = ORACLE_SQL["fct_image_detections"]
 ORACLE_SQL["run_checks_incremental"] = ORACLE_SQL["run_checks"]
+ORACLE_SQL["top_products_bounded"] = ORACLE_SQL["top_products"]

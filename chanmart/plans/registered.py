@@ -24,6 +24,7 @@ from chanmart.plans import jobs as P
 from chanmart.plans import marts as M
 from chanmart.plans import search_index as SI
 from chanmart.plans import staging as S
+from chanmart.plans import top_words as TW
 from chanmart.session import importable_in_workers, shared_folder
 from chanmart.sources import fixtures as FX
 from chanmart.sources import lake as LK
@@ -354,6 +355,15 @@ def run_checks_incremental(spark, sf_dir):
     return _built_in_two_runs(spark, sf_dir)[1]
 
 
+def top_products_bounded(spark, sf_dir):
+    """Word counts by lake date, merged by ten days, asked from their heads."""
+    root = shared_folder(spark, "registered-words")
+    counts = R.word_count_rollup(_fct_by_lake_date(spark, sf_dir))
+    TB.write_table(counts, root, TB.RPT_WORD_COUNTS, partition_by=["lake_date"], sort_by=[F.col("mention_count").desc()])
+    TW.build_period_counts(spark, root, period=len("2024-01-1"))
+    return TW.top_products_bounded(spark, root)
+
+
 def search_messages_indexed(spark, sf_dir):
     """The facts written by lake date, indexed, and searched through the index."""
     root = shared_folder(spark, "registered-search")
@@ -400,4 +410,5 @@ QUERIES = {
     "fct_image_detections_incremental": fct_image_detections_incremental,
     "run_checks_incremental": run_checks_incremental,
     "search_messages_indexed": search_messages_indexed,
+    "top_products_bounded": top_products_bounded,
 }

@@ -21,6 +21,7 @@ FCT_MESSAGES = "fct_messages"
 FCT_IMAGE_DETECTIONS = "fct_image_detections"
 RPT_WORD_COUNTS = "rpt_word_counts"
 RPT_CHANNEL_DAYS = "rpt_channel_day_counts"
+RPT_PERIOD_WORDS = "rpt_period_word_counts"
 MESSAGE_KEYS = "message_keys"
 CHECK_KEYS = "check_keys"
 SEARCH_INDEX = "search_index"
