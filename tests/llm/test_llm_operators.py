@@ -160,6 +160,17 @@ def test_secret_ownership_separates_examples(spark):
     assert out == {0: (1, 0), 1: (1, 0), 2: (1, 0), 3: (1, 0), 9: (0, 1), 10: (0, 1), 11: (0, 0)}
 
 
+def test_secret_verdict_uses_owners_and_repositories(spark):
+    """Two owners with many repositories copy an example; one owner's value, however often, is their own."""
+    rows = [(i, "token = Copied123Everywhere", "en", f"s{i % 2}", 0) for i in range(50)]
+    rows += [(100 + i, "token = Mine4567Alone", "en", "s1", 0) for i in range(50)] + [(200 + i, "token = Two89Repos", "en", f"s{i}", 0) for i in range(2)]
+    rows += [(300 + i, "token = HotValue1of" + "x" * 20, "en", f"s{i % 5}", 0) for i in range(1500)]  # a hot value
+    out = {r["doc_id"]: (r["n_example"], r["n_live"], r["most_owners"], r["most_repositories"]) for r in secrets.scan_secrets(docs(spark, rows)).collect()}
+    assert len(out) == len(rows)
+    for i, got in out.items():
+        assert got == ((1, 0, 2, 50) if i < 100 else (0, 1, 1, 50) if i < 200 else (0, 1, 2, 2) if i < 300 else (1, 0, 5, 1500)), i
+
+
 def test_pii_spans_match_brute_force(spark):
     rows = [(i, t) for i, t in enumerate(TRICKY)]
     found = pii.find_pii(docs(spark, rows, "start value score"))
@@ -297,6 +308,77 @@ def test_toxicity_learns_and_counterfactuals_free_identity_terms(spark, tmp_path
     assert abs(paired[1] - paired[2]) < 0.5 * abs(plain[1] - plain[2])
 
 
+def plain_toxicity(rows, labels, features, pair_weight, rounds=300, l2=1e-5):
+    """Weights and intercept by a dense fit, from the 2 x 2 table of each feature on."""
+    import re
+
+    toxic_of = {}
+    for i, toxic in labels:
+        if i is not None and toxic is not None and zlib.crc32(str(i).encode()) % 3 != 1:
+            toxic_of[i] = max(toxic, toxic_of.get(i, 0))
+    texts = {}
+    for i, t in rows:
+        if i in toxic_of:
+            texts[t or ""] = max(texts.get(t or "", 0), int(toxic_of[i] > 0))
+    words = lambda t: set(re.findall(r"\w+", t.lower()))
+    swap = lambda ws: {toxicity.SWAP.get(w, w) for w in ws}
+    of = lambda ws: {f for w in ws for f in [w, *(w[:k] + "*" for k in toxicity.PREFIXES if len(w) > k)]}
+    n, positive = len(texts), sum(texts.values())
+    seen = {t: of(words(t) | swap(words(t))) for t in texts}
+    table = {f: np.zeros((2, 2)) for fs in seen.values() for f in fs}  # has it or not, toxic or not
+    for f, cells in table.items():
+        for t, y in texts.items():
+            cells[int(f not in seen[t]), y] += 1
+    strength = {}
+    for f, ((clean, toxic), (clean_without, toxic_without)) in table.items():
+        chi = n * (clean * toxic_without - toxic * clean_without) ** 2 / ((clean + toxic) * (n - clean - toxic + 0.5) * positive * (n - positive))
+        if clean + toxic >= toxicity.MIN_DOCS and chi >= toxicity.CHI_SQUARE:
+            strength[f] = chi
+    vocabulary = sorted(strength, key=lambda f: (-round(strength[f], 6), f))[:features]
+    row = lambda ws: np.array([float(f in of(ws)) for f in vocabulary])
+    x, y = np.array([row(words(t)) for t in texts]), np.array(list(texts.values()), float)
+    change = np.array([row(words(t)) - row(swap(words(t))) for t in texts if any(w in toxicity.SWAP for w in words(t))])
+    w, b = np.zeros(len(vocabulary)), np.log((positive + 0.5) / (n - positive + 0.5))
+    first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+    for t in range(1, rounds + 1):
+        error = 1 / (1 + np.exp(-(x @ w + b))) - y
+        gradient = x.T @ error / n + l2 * w + (2 * pair_weight / len(change) * change.T @ (change @ w) if len(change) else 0)
+        gradient = np.append(gradient, error.mean())
+        first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
+        step = 0.1 / (1 + t / 100) * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return dict(zip(vocabulary, w)), b, of, words
+
+
+def test_toxicity_matches_a_dense_fit(spark, tmp_path):
+    rng = np.random.default_rng(14)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = int(rng.random() < 0.3)
+        text = rng_text(rng, 8) + (" idiot" if toxic and rng.random() < 0.9 else "") + (" muslim" if rng.random() < (0.5 if toxic else 0.1) else "") + (" women" if rng.random() < 0.1 else "")
+        rows.append((i, text))
+        labels += [(i, 1, toxic)] * (2 if i % 50 == 0 else 1) if i % 9 else []
+    rows += [(500, rows[3][1]), (500, rows[3][1]), (501, None), (None, "idiot"), (502, "")]
+    labels += [(500, 1, 1), (None, 1, 1), (501, 1, None), (999, 1, 1)]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    weights, intercept, of, words = plain_toxicity(rows, [(i, y) for i, _, y in labels], toxicity.FEATURES, toxicity.PAIR_WEIGHT)
+    got_weights, got_intercept = toxicity.trained(spark, str(tmp_path), spark.read.parquet(str(tmp_path / "documents.parquet")))
+    assert 3 < len(got_weights) <= len(weights) and got_intercept == pytest.approx(intercept, abs=1e-6)
+    for f, w in weights.items():
+        assert got_weights.get(f, 0.0) == pytest.approx(w, abs=2e-6), f
+    got = Counter((r["doc_id"], r["held_out"], round(r["score"], 5), r["predicted"]) for r in toxicity.op5_toxicity(spark, str(tmp_path)).collect())
+    want = Counter()
+    for i, t in rows:
+        score = 1 / (1 + np.exp(-(intercept + sum(weights.get(f, 0.0) for f in of(words(t or ""))))))
+        assert abs(score - toxicity.THRESHOLD) > 1e-4
+        held_out = zlib.crc32(("" if i is None else str(i)).encode()) % 3 == 1
+        want[i, held_out, round(float(score), 5), int(score >= toxicity.THRESHOLD)] += 1
+    assert sum(want.values()) == sum(got.values())
+    near = lambda c: sorted((-1 if i is None else i, h, p, round(s, 3)) for (i, h, s, p), k in c.items() for _ in range(k))
+    assert near(got) == near(want)
+
+
 def test_toxicity_without_labels(spark):
     lab = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(docs(spark, [(1, "a")]), lab)
@@ -381,6 +463,42 @@ def test_revisits_match_brute_force(spark):
         assert got[i] == (("resolved", r[0], {"date": str(i), "content-length": str(r[0])}) if same else ("validator_mismatch", None, None))
 
 
+REVISIT = "record_id long, url string, captured_at {}, is_revisit boolean, etag string, digest string, last_modified string, headers map<string,string>"
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp_ntz", "timestamp", "date", "double", "decimal(20,6)"])
+def test_revisits_take_times_of_any_kind(spark, kind):
+    times = ["2024-01-01T00:00:05Z", "20240102030405", "2024-01-03", "2024-01-03 00:00:01.5", "2024-01-04T01:00:00+02:00", "no time", None]
+    if kind != "string":
+        times = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05", None, None] if kind not in ("double", "decimal(20,6)") else ["1.5", "2", "2.000001", "3", "1e5", None, None]
+    rows = [(i, "http://a.org/", t, False, f"e{i}", None, None, None) for i, t in enumerate(times)]
+    rows += [(100 + i, "http://a.org/", t, True, f"e{i - 1}", None, None, None) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, REVISIT.format("string")).withColumn("captured_at", F.col("captured_at").cast(kind))
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/Los_Angeles"}):
+        got = {r["record_id"]: (r["status"], r["response_id"]) for r in revisits.resolve_revisits(df).collect()}
+    assert got == {100: ("no_response", None), 105: ("no_response", None), 106: ("no_response", None), **{100 + i: ("resolved", i - 1) for i in range(1, 5)}}
+
+
+def test_revisits_by_digest_by_date_too_early_and_repeated(spark):
+    row = lambda i, t, again, etag=None, digest=None, modified=None: (i, "http://a.org/", t, again, etag, digest, modified, {"n": str(i)})
+    rows = [
+        row(1, 10, True, digest="d1"),  # before any response
+        row(2, 20, False, "e", "d1", "m1"),
+        row(3, 30, True, digest="d1"),
+        row(4, 31, True, digest="d2"),
+        row(5, 32, True, digest="d2", etag="e"),  # one of the two agrees
+        row(6, 33, True, modified="m1"),  # neither tag nor digest: the dates
+        row(7, 40, False, None, None, "m2"),
+        row(8, 41, True, modified="m1"),
+        row(9, 42, True, modified="m2"),
+        row(10, 42, True),  # no validator at all
+        row(11, 20, True, digest="d1"),  # not later than the response
+    ]
+    got = [(r["record_id"], r["status"], r["response_id"]) for r in revisits.resolve_revisits(spark.createDataFrame(rows + rows, REVISIT.format("long"))).collect()]
+    want = {1: ("no_response", None), 3: ("resolved", 2), 4: ("validator_mismatch", None), 5: ("resolved", 2), 6: ("resolved", 2), 8: ("validator_mismatch", None), 9: ("resolved", 7), 10: ("validator_mismatch", None), 11: ("no_response", None)}
+    assert Counter(got) == Counter({(i, *w): 2 for i, w in want.items()})
+
+
 # --- decontamination ----------------------------------------------------------
 
 
@@ -537,6 +655,15 @@ def test_near_duplicates_use_every_text_of_a_repeated_id(spark, bucket_rows):
     assert len(got) == len(rows) and {(r["doc_id"], r["class_id"]) for r in got} == set(expected.items())
 
 
+def test_one_row_of_each_class_stays(spark):
+    rng = np.random.default_rng(44)
+    one, two, three = (" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(3))
+    rows = [(1, one), (1, one), (2, one + " edit"), (3, two), (3, two), (4, three), (None, one), (None, one), (5, None), (6, ""), (7, ""), (8, "z y"), (8, "y z")]
+    kept = near_dup.one_of_each(docs(spark, rows, "__x")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept if r["doc_id"] != 8) == Counter([(1, one), (3, two), (4, three), (None, one), (None, one), (5, None), (6, ""), (7, "")])
+    assert [r["doc_id"] for r in kept].count(8) == 1
+
+
 def test_links_across_meet_every_pair_of_different_labels(spark):
     rng = np.random.default_rng(42)
     bases = [rng.integers(0, 2**63, 90, dtype=np.uint64) for _ in range(3)]
