@@ -137,19 +137,16 @@ def join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     are not shuffled; the others are hash joined.  ``key`` must be of bounded
     size (a number or a digest); rows with a NULL key have no partner.
     """
-    spark = left.sparkSession
     counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     least = left.count() // HOT_KEYS
-    hot = [r[0] for r in counts.filter(F.col("n") > max(least, 1000)).select(key).limit(HOT_KEYS).collect()]
-    alone = left.filter(F.col(key).isNull())
+    few = staged(counts.filter(F.col("n") > max(least, 1000)).select(key).limit(HOT_KEYS), "hot-keys")
     none = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
-    alone = alone.select(*left.columns, *none)
+    alone = left.filter(F.col(key).isNull()).select(*left.columns, *none)
     rest = left.filter(F.col(key).isNotNull())
     columns = [*left.columns, *(c for c in right.columns if c != key)]
-    if not hot:
+    if not few.count():
         return rest.join(right, key, "left").select(*columns).unionByName(alone)
-    few = F.broadcast(spark.createDataFrame([(k,) for k in hot], left.select(key).schema))
-    of_hot = staged(right.join(few, key, "left_semi"), "hot-keys")
-    cold = rest.join(few, key, "left_anti").join(right, key, "left").select(*columns)
-    warm = rest.join(few, key, "left_semi").join(F.broadcast(of_hot), key, "left").select(*columns)
+    of_hot = staged(right.join(F.broadcast(few), key, "left_semi"), "hot-rows")
+    cold = rest.join(F.broadcast(few), key, "left_anti").join(right, key, "left").select(*columns)
+    warm = rest.join(F.broadcast(few), key, "left_semi").join(F.broadcast(of_hot), key, "left").select(*columns)
     return cold.unionByName(warm).unionByName(alone)
