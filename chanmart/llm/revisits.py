@@ -16,7 +16,7 @@ revisit's win where a 304 answer may change them, length, encoding and range
 stay those of the stored response.
 
 Defined cases: "earlier" is strictly earlier; of responses at one time the
-largest record id is the latest; a record without URL or time is never a
+largest record id is the latest; a record without URL or readable time is never a
 response and stays unresolved as a revisit (``no_response``); NULL validators
 never agree; NULL headers are none; repeated rows give repeated results; an
 empty table gives no rows.
@@ -48,6 +48,29 @@ def canonical_url(url: Column) -> Column:
     return F.when(url.isNotNull(), F.concat(host, path, asked))
 
 
+#: Fixed value: the fourteen digits of an archive's capture time.
+FOURTEEN = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$"
+
+
+def instant(df: DataFrame, column: str) -> Column:
+    """A capture time as microseconds, to be compared.
+
+    Times of any kind, ISO texts and the archive's fourteen digits; without a
+    zone they are UTC, whatever the session's.  A text that is no time is
+    NULL.  Whole numbers stay as they are, fractions count as seconds.
+    """
+    value, kind = F.col(column), df.schema[column].dataType.typeName()
+    if kind == "timestamp":
+        return F.unix_micros(value)
+    if kind in ("byte", "short", "integer", "long"):
+        return value.cast("long")
+    if kind in ("float", "double", "decimal"):
+        return F.round(value * 1_000_000).try_cast("long")
+    text = F.trim(value.cast("string"))
+    text = F.regexp_replace(text, FOURTEEN, "$1-$2-$3T$4:$5:$6")
+    return F.unix_micros(F.coalesce(F.concat(text, F.lit("Z")).try_cast("timestamp"), F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"), text.try_cast("timestamp")))
+
+
 def merged_headers(stored: Column, fresh: Column) -> Column:
     """Stored headers with those of the 304 answer that may replace them."""
     empty = F.create_map().cast("map<string,string>")
@@ -66,23 +89,23 @@ def agree(revisit: dict[str, Column], response: dict[str, Column]) -> Column:
 def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     """Per revisit record: record_id, canonical_url, status, response_id, headers (merged, of resolved ones).
 
-    ``records``: record_id, url, captured_at (any ordered type), is_revisit,
+    ``records``: record_id, url, captured_at (see ``instant``), is_revisit,
     etag, digest, last_modified and headers (map); other columns are ignored.
     """
     prepare(records.sparkSession)
     kept = records.select(
         "record_id",
         canonical_url(F.col("url")).alias("url"),
-        F.col("captured_at").alias("at"),
+        instant(records, "captured_at").alias("at"),
         F.coalesce("is_revisit", F.lit(False)).alias("is_revisit"),
         *(F.col(c).alias(c) for c in ("etag", "digest", "last_modified", "headers")),
     )
     kept = staged(kept.filter(F.col("is_revisit") | (F.col("url").isNotNull() & F.col("at").isNotNull())), "captures")
     shares = [i / slices for i in range(1, slices)]
-    bounds = kept.agg(F.percentile_approx(F.col("at").cast("double"), shares, 10_000)).first()[0] or []  # fewer than ``slices``
+    bounds = kept.agg(F.percentile_approx("at", shares, 10_000)).first()[0] or []  # fewer than ``slices``
     number = F.lit(0)
     for b in sorted(set(bounds)):
-        number = number + (F.col("at").cast("double") > F.lit(b)).cast("int")
+        number = number + (F.col("at") > F.lit(b)).cast("int")
     events = kept.withColumn("slice", F.when(F.col("at").isNull(), F.lit(-1)).otherwise(number))
     response = F.when(~F.col("is_revisit"), F.struct("at", "record_id", "etag", "digest", "last_modified", "headers"))
     order = F.when(~F.col("is_revisit"), F.struct("at", "record_id"))
