@@ -10,11 +10,15 @@ detections as the enrichment table.  Timed, each as the median of
 BENCH_REPEAT runs after one warm-up:
   ingest_files      read the lake, validate, load once (fresh warehouse each run)
   ingest_daily      load only the newest day's folder into a warehouse holding the earlier days
+  build_marts_daily, run_checks_daily    what that day changed: models, and checks from the kept counts
+  ingest_nothing_new   list the lake and read nothing of it
   build_marts       staging + dim_channels + dim_dates + fct_messages + fct_image_detections, written
                     (full refresh)
   build_marts_incremental   the same after as_of moved one day (only affected partitions rebuilt)
   search_messages, top_products, channel_activity, channel_activity_by_name,
   top_detected_objects, run_checks    over the written marts
+  search_messages_indexed, top_products_bounded   a rarer term through the skipping index; top words
+                    from the heads of the partial counts
   top_products_rollup, channel_activity_rollup   the same two reports from the
                     per-lake-date partial counts the build keeps
 """
@@ -34,8 +38,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from chanmart.operators import reports as R  # noqa: E402
+from chanmart.plans import check_state as CI  # noqa: E402
 from chanmart.plans import jobs as P  # noqa: E402
 from chanmart.plans import registered as Q  # noqa: E402
+from chanmart.plans import search_index as SI  # noqa: E402
+from chanmart.plans import top_words as TW  # noqa: E402
 from chanmart.session import checkpoint_dir, local_session  # noqa: E402
 from chanmart.sources import fixtures as FX  # noqa: E402
 from chanmart.sources import lake as LK  # noqa: E402
@@ -93,16 +100,23 @@ def main() -> None:
     root_d = os.path.join(scratch, "daily")
     P.load_messages(spark, lake, root_d, dates=days[: -REPEAT - 1])
     P.build_marts(spark, root_d, days[-REPEAT - 2], full_refresh=True)
-    loads, builds = [], []
+    CI.run_checks_incremental(spark, root_d)
+    loads, builds, checks = [], [], []
     for day in days[-REPEAT - 1 :]:
         t0 = time.perf_counter()
         P.load_messages(spark, lake, root_d, dates=[day])
         t1 = time.perf_counter()
         P.build_marts(spark, root_d, day)
+        t2 = time.perf_counter()
+        CI.run_checks_incremental(spark, root_d).collect()
         loads.append(t1 - t0)
-        builds.append(time.perf_counter() - t1)
+        builds.append(t2 - t1)
+        checks.append(time.perf_counter() - t2)
     out["ingest_daily"] = round(statistics.median(loads[1:]), 3)
     out["build_marts_daily"] = round(statistics.median(builds[1:]), 3)
+    out["run_checks_daily"] = round(statistics.median(checks[1:]), 3)
+    # A run that finds nothing new: every file is listed, none is read.
+    out["ingest_nothing_new"] = timed(lambda: P.load_messages(spark, lake, os.path.join(scratch, f"ingest-{counter['i']}")))
 
     root = os.path.join(scratch, "warehouse")
     P.load_messages(spark, lake, root)
@@ -131,6 +145,8 @@ def main() -> None:
         "channel_activity": lambda: R.channel_activity(fct, Q.CHANNEL_ID).collect(),
         "channel_activity_by_name": lambda: R.channel_activity_by_name(fct, dim, Q.CHANNEL_NAME).collect(),
         "top_detected_objects": lambda: R.top_detected_objects(det).collect(),
+        "search_messages_indexed": lambda: SI.search_messages_indexed(spark, root, Q.RARE_TERM).collect(),
+        "top_products_bounded": lambda: TW.top_products_bounded(spark, root).collect(),
         "top_products_rollup": lambda: R.top_products_from_rollup(words).collect(),
         "channel_activity_rollup": lambda: R.channel_activity_from_rollup(days, Q.CHANNEL_ID).collect(),
         "run_checks": lambda: P.run_mart_checks(spark, root).collect(),
