@@ -122,6 +122,24 @@ def test_nothing_of_the_history_is_shuffled_for_detection_facts(spark, warehouse
     assert len(facts) == 1 and "Exchange" not in facts[0] and facts[0].count("Bucketed: true") == 2
 
 
+def test_a_hot_message_is_no_task_of_its_own(spark, warehouse, monkeypatch):
+    """A third of all boxes on one message: its rows are split and met by broadcast; the facts are the same."""
+    w = warehouse
+    monkeypatch.setattr(P, "LARGE_BUCKET", 1)
+    for n in range(1, 30):
+        w.land("2024-01-01", n)
+    w.land("2024-01-02", 5, "chanb")  # the hot id stands for two messages
+    w.detect(*range(1, 40), *[5] * 3000)
+    asked, own = [], P._hot_messages
+    monkeypatch.setattr(P, "_hot_messages", lambda *a: asked.append(own(*a)) or asked[-1])
+    w.step("2024-01-10")
+    assert asked == [[5], [5]]
+    monkeypatch.setattr(P, "HOT_KEYS", 1)
+    w.detect(*[5] * 100)
+    w.step("2024-01-10")
+    assert asked[-2:] == [[], []]
+
+
 def test_bucketed_tables_are_merged_and_stay_right(warehouse, monkeypatch):
     w = warehouse
     monkeypatch.setattr(P, "MERGE_WRITES", 3)
