@@ -8,9 +8,9 @@ the alphabet and the sequence, made from the searched windows alone.  Every
 window of every item is searched backward through wavelet-tree ranks; the
 occurrences are located by sampled suffix positions and merged to spans.
 
-Benchmark texts reach the tasks in blocks of at most ``block_bytes``; more
-items than one block holds are searched block by block, each in a pass over
-the documents, and the passes' spans are merged by document.
+Benchmark texts reach the tasks in blocks of about ``block_bytes``.  A task
+searches its shard for one block after the other, of up to ``BLOCKS_A_PASS`` in
+one pass over the documents, and merges the spans by document.
 
 Defined cases: a NULL or wordless text has no words and no hits; NULL or
 wordless items have no window; rows that repeat an item_id are one item (hit
@@ -32,6 +32,8 @@ from chanmart.llm.fm_index import FMIndex
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+#: Blocks that a task is sent at once, and the text that it searches for one block before the next where there are several.
+BLOCKS_A_PASS, SHARD_BYTES = 16, 8 << 20
 #: 0-9, a-z and all bytes of other scripts stay, A-Z are lower-cased, the rest become blanks.
 _TABLE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -149,45 +151,72 @@ def find_contamination(
 ) -> DataFrame:
     """The documents plus ``n_words``, ``hit_spans`` (merged, in word numbers) and ``hit_items`` (sorted ids).
 
-    Input columns of these three names are replaced.  With several blocks of
-    items each block is one more narrow pass, and spans are united per row.
+    Input columns of these three names are replaced.  Several blocks of items
+    are searched one after the other by the task that holds a shard, and spans
+    are united per row.  Beyond ``BLOCKS_A_PASS`` blocks, whose items are what
+    a task is sent at once, the documents are written with what was found so
+    far and read again for the next ones.
     """
     prepare(docs.sparkSession)
     return _passes(docs, benchmark, window, text_col, item_col, item_text_col, block_bytes, cut=False)
 
 
-def _passes(docs, benchmark, window, text_col, item_col, item_text_col, block_bytes, cut: bool) -> DataFrame:
-    """One pass per block of items; with ``cut`` the last one cuts the spans out and returns the columns of ``docs``."""
+def _shards(batches, most: int):
+    """The batches in groups of about ``most`` bytes of memory, one at least."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _passes(docs, benchmark, window, text_col, item_col, item_text_col, block_bytes, cut: bool, blocks_a_pass: int = BLOCKS_A_PASS) -> DataFrame:
+    """Every shard is searched for one block of items after the other; with ``cut`` the spans are cut out and the columns of ``docs`` returned."""
     sc = docs.sparkSession.sparkContext
     out = docs if cut else docs.drop(*(n for n, _ in FOUND))
     names, plain = out.columns, out.schema
     found_schema = T.StructType([*plain.fields, *(T.StructField(f"__{n}" if cut else n, t) for n, t in FOUND)])
     blocks = list(_item_blocks(benchmark, item_text_col, item_col, block_bytes))
-    for number, block in enumerate(blocks):
-        sent = sc.broadcast(block())
-        first, last = number == 0, number == len(blocks) - 1
+    for at in range(0, len(blocks), blocks_a_pass):
+        sent = [sc.broadcast(block()) for block in blocks[at : at + blocks_a_pass]]
+        first, last = at == 0, at + blocks_a_pass >= len(blocks)
 
         @tidy
         def scan(batches, sent=sent, first=first, last=last):
-            search = Windows(sent.value, window)
-            for batch in batches:
-                column = batch.column(batch.schema.get_field_index(text_col))
-                counts, spans, items = _search(byte_texts(column), search)
-                found_spans = [spans.get(i, []) for i in range(len(counts))]
-                found_items = [{x for x in items.get(i, ()) if x is not None} for i in range(len(counts))]
+            only = Windows(sent[0].value, window) if len(sent) == 1 else None
+            for shard in _shards(batches, 0 if only else SHARD_BYTES):
+                columns = [batch.column(batch.schema.get_field_index(text_col)) for batch in shard]
+                texts = [t for column in columns for t in byte_texts(column)]
+                found_spans, found_items = [[] for _ in texts], [set() for _ in texts]
                 if not first:
-                    found_spans = [_union(a, [(x["first"], x["last"]) for x in b]) for a, b in zip(found_spans, batch.column(len(names) + 1).to_pylist())]
-                    found_items = [a | set(b) for a, b in zip(found_items, batch.column(len(names) + 2).to_pylist())]
-                if cut and last:
-                    texts = [without_spans(t, s) if s else t for t, s in zip(column.cast(pa.large_binary()).to_pylist(), found_spans)]
-                    yield replaced(batch.select(names), text_col, pa.array(texts, pa.large_binary()).cast(pa.large_string()))
-                    continue
-                results = [
-                    pa.array(counts, pa.int64()),
-                    pa.array([[{"first": a, "last": b} for a, b in s] for s in found_spans], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-                    pa.array([sorted(s) for s in found_items], pa.list_(pa.int64())),
-                ]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *results], names=found_schema.names)
+                    earlier = [r for batch in shard for r in zip(*(batch.column(len(names) + k).to_pylist() for k in (1, 2)))]
+                    found_spans = [[(x["first"], x["last"]) for x in spans] for spans, _ in earlier]
+                    found_items = [set(items) for _, items in earlier]
+                for block in sent:
+                    # One block's windows are held at a time.
+                    counts, spans, items = _search(texts, only or Windows(block.value, window))
+                    for i, s in spans.items():
+                        found_spans[i] = _union(found_spans[i], s)
+                    for i, ids in items.items():
+                        found_items[i] |= {x for x in ids if x is not None}
+                start = 0
+                for batch, column in zip(shard, columns):
+                    mine = slice(start, start + batch.num_rows)
+                    start += batch.num_rows
+                    if cut and last:
+                        kept = [without_spans(t, s) if s else t for t, s in zip(column.cast(pa.large_binary()).to_pylist(), found_spans[mine])]
+                        yield replaced(batch.select(names), text_col, pa.array(kept, pa.large_binary()).cast(pa.large_string()))
+                        continue
+                    results = [
+                        pa.array(counts[mine], pa.int64()),
+                        pa.array([[{"first": a, "last": b} for a, b in s] for s in found_spans[mine]], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
+                        pa.array([sorted(s) for s in found_items[mine]], pa.list_(pa.int64())),
+                    ]
+                    yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *results], names=found_schema.names)
 
         out = out.mapInArrow(scan, plain if cut and last else found_schema)
         if not last:
