@@ -3,9 +3,11 @@
 ``SeenTwice`` is mergeable: the union of two parts marks as seen twice what
 either part saw twice or both parts saw.  Parts travel as compressed slices,
 so the merge is a distributed reduce by slice and the driver only joins the
-merged slices of the "twice" filter, whose size is the ``bits`` parameter
-whatever the input's size.  A fuller filter lets more hashes through; the
-exact step behind it decides, so results never depend on ``bits``.
+merged slices of the "twice" filter.  ``bits_for`` sizes a filter by a count of
+what goes in, up to ``MOST_BITS``, which is what a task can hold twice and a
+broadcast once; beyond ``MOST_BITS / BITS_A_HASH`` hashes it fills up.  A fuller
+filter lets more hashes through; the exact step behind it decides, so results
+never depend on its size.
 """
 
 from __future__ import annotations
@@ -16,10 +18,20 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Probes of a hash, taken from separate bits of a 64-bit hash re-mixed once.
 PROBES = 3
 SLICE_BITS = 1 << 20
+BITS_A_HASH = 8
+LEAST_BITS, MOST_BITS = 1 << 22, 1 << 29
+#: Map tasks' slices that one merging task takes; more are merged in two steps.
+MERGED_AT_ONCE = 1024
+
+
+def bits_for(hashes: int) -> int:
+    """Bits of a filter that so many hashes go into: a power of two, ``BITS_A_HASH`` a hash at least where that is allowed."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, hashes * BITS_A_HASH - 1).bit_length()))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -87,7 +99,7 @@ def slice_batch(seen: SeenTwice) -> pa.RecordBatch:
     )
 
 
-def _merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _united(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     once = twice = None
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
@@ -98,12 +110,26 @@ def _merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Ite
             else:
                 twice |= t | (once & o)
                 once |= o
-    packed = zstandard.ZstdCompressor(level=1).compress(twice.tobytes())
+    return once, twice
+
+
+def _merge_some(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1)
+    merged = [pa.array([pack.compress(x.tobytes())], pa.binary()) for x in _united(batches)]
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), *merged], names=["slice", "once", "twice"])
+
+
+def _merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packed = zstandard.ZstdCompressor(level=1).compress(_united(batches)[1].tobytes())
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["slice", "twice"])
 
 
 def merged_twice(parts: DataFrame, bits: int) -> np.ndarray:
     """The whole input's twice-seen filter, ``bits`` / 8 bytes, from the tasks' slices."""
+    groups = -(-parts.rdd.getNumPartitions() // MERGED_AT_ONCE)
+    if groups > 1:
+        dealt = parts.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(groups)))
+        parts = dealt.groupBy("slice", "g").applyInArrow(_merge_some, SLICES)
     merged = parts.groupBy("slice").applyInArrow(_merge, "slice int, twice binary")
     out = np.zeros(bits // 8, np.uint8)
     unpack = zstandard.ZstdDecompressor()
