@@ -43,6 +43,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chanmart.llm import bloom
 from chanmart.llm.common import byte_texts, few_texts, prepare, staged, tidy
@@ -53,7 +54,6 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 K = BANDS * ROWS
 BUCKET_ROWS = 1000
-MEMBERS_BITS = 1 << 26
 #: Text bytes whose shingles and darts are held at once.
 CHUNK_BYTES = 1 << 20
 
@@ -217,10 +217,11 @@ def _link_across(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
 
 
 def ids_filter(ids: DataFrame, id_col: str):
-    """A broadcast Bloom filter of fixed size over ids; a test for Arrow batches of them."""
+    """A broadcast Bloom filter over a written table's ids, sized by their number; a test for Arrow batches of them."""
+    bits = bloom.bits_for(ids.count())
 
     def add(batches):
-        seen = bloom.SeenTwice(MEMBERS_BITS)
+        seen = bloom.SeenTwice(bits)
         for batch in batches:
             h = _mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             if len(h):
@@ -228,13 +229,13 @@ def ids_filter(ids: DataFrame, id_col: str):
         yield bloom.slice_batch(seen)
 
     parts = ids.select(F.col(id_col).cast("long")).dropna().mapInArrow(add, bloom.SLICES)
-    return ids.sparkSession.sparkContext.broadcast(bloom.merged_twice(parts, MEMBERS_BITS))
+    return ids.sparkSession.sparkContext.broadcast(bloom.merged_twice(parts, bits))
 
 
 def maybe_in(sent, column: pa.Array) -> np.ndarray:
     known = column.is_valid().to_numpy(zero_copy_only=False)
     values = column.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
-    return known & bloom.probe(sent.value, _mix(values.view(np.uint64)), MEMBERS_BITS)
+    return known & bloom.probe(sent.value, _mix(values.view(np.uint64)), len(sent.value) * 8)
 
 
 def _elements_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -355,10 +356,19 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id is their class's smallest, all columns; only ids that may go are shuffled."""
+    """One document of each class, that of smallest id, all columns; only rows whose id may go or repeats are shuffled.
+
+    Of several rows of that id the one with the smallest text digest stays.
+    Rows without id are in no class and stay.
+    """
     classes = near_duplicate_classes(docs, id_col, text_col)
-    gone = staged(classes.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).cast("long").alias("__gone")).distinct(), "near-gone")
-    sent = ids_filter(gone, "__gone")
+    gone = classes.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).cast("long").alias("__gone")).distinct()
+    gone = gone.withColumn("__stays", F.lit(False))
+    again = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__gone")).agg((F.count(F.lit(1)) > 1).alias("__stays")).filter("__stays")
+    # An id that goes, goes; one that only repeats keeps one row.
+    touched = gone.unionByName(again).groupBy("__gone").agg(F.min("__stays").alias("__stays"))
+    touched = staged(touched, "near-gone")
+    sent = ids_filter(touched.select("__gone"), "__gone")
     at = docs.columns.index(id_col)
 
     def pick(wanted: bool):
@@ -369,7 +379,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return docs.mapInArrow(run, docs.schema)
 
     perhaps = pick(True)
-    return pick(False).unionByName(perhaps.join(gone, perhaps[id_col].cast("long") == gone["__gone"], "left_anti"))
+    met = perhaps.join(touched, perhaps[id_col].cast("long") == touched["__gone"], "left").filter(F.coalesce("__stays", F.lit(True)))
+    untouched = met.filter(F.col("__stays").isNull()).select(*docs.columns)
+    # Each task keeps its own first row of an id before they meet (a limit pushed below the shuffle).
+    first = Window.partitionBy("__gone").orderBy(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    one = met.filter("__stays").withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").select(*docs.columns)
+    return pick(False).unionByName(untouched).unionByName(one)
 
 
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

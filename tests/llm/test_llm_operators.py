@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from chanmart.llm import bloom, common
 from chanmart.llm import decontaminate as D
 from chanmart.llm import fm_index, line_dedup, near_dup, native_spans, packing, pii, revisits, secrets, suffix_dedup, topk, toxicity
 from chanmart.llm.common import prepare
@@ -277,6 +278,21 @@ def test_line_dedup_keeps_first_occurrence(spark):
     assert out[0] == "a0\nsame" and all(out[i] == f"a{i}" for i in range(1, 12))
 
 
+def test_line_dedup_sends_suspects_only(spark):
+    """Of 40 documents of 300 lines, the joined path takes the shared lines along, and no others."""
+    prepare(spark)
+    rows = [(i, "\n".join([f"own {i} {j}" for j in range(300)] + ["Shared one", " shared one", "shared two"])) for i in range(40)] + [(90, None), (91, "")]
+    frame = docs(spark, rows)
+    assert line_dedup.lines_of(frame) == 40 * 303 + 2
+    twice = line_dedup.twice_filter(frame, 1, "text", 1 << 22)
+    sent = line_dedup.suspect_lines(frame, twice, 1 << 22).collect()
+    assert len(sent) == 80 and {(r["line"]) for r in sent} == {300, 302} and len({r["key"] for r in sent}) == 40
+    out = line_dedup.dedup_lines(frame, broadcast_limit=0)
+    shuffled = out._jdf.queryExecution().optimizedPlan().toString()
+    assert shuffled.count("MapInArrow") >= 3
+    assert {(r["doc_id"], r["n_lines"], r["n_dropped"]) for r in out.collect()} == {(i, 303, 3) for i in range(40)} | {(90, 1, 0), (91, 1, 0)}
+
+
 def test_line_dedup_with_a_full_filter(spark):
     rows = [(i, f"x{i}\nsame") for i in range(12)]
     out = line_dedup.dedup_lines(docs(spark, rows), bits=1 << 20).collect()
@@ -513,14 +529,19 @@ def test_fm_index_finds_every_occurrence():
         assert sorted(index.locate(np.arange(a, b)).tolist()) == expected
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
-def test_decontamination_matches_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes,a_pass", [(1 << 20, 16), (60, 1000), (60, 2)])
+def test_decontamination_matches_brute_force(spark, monkeypatch, block_bytes, a_pass):
+    """With all items in one block, with many blocks in one pass, and with several passes."""
+    plain, written = D._passes, []
+    monkeypatch.setattr(D, "_passes", lambda *a, **k: plain(*a, **k, blocks_a_pass=a_pass))
+    monkeypatch.setattr(D, "staged", lambda df, name, own=D.staged: written.append(name) or own(df, name))
     rng = np.random.default_rng(9)
     items = [(i, rng_text(rng, 14 if i % 2 else 4, ("a", "b", "c"))) for i in range(8)] + [(8, None), (9, ""), (1, "b, A c? b a c b a a c"), (None, "zz yy xx ww")]
     rows = [(i, rng_text(rng, 60, ("a", "b", "c", "d", "É"))) for i in range(20)] + [(30, items[1][1].upper() + "! d " + items[3][1]), (31, None), (32, ""), (33, "!!"), (34, "q zz yy, XX ww q"), (35, LONG)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     df = docs(spark, rows, "n_words item_id first")
     got = {r["doc_id"]: (r["n_words"], [tuple(s) for s in r["hit_spans"]], r["hit_items"]) for r in D.find_contamination(df, bench, block_bytes=block_bytes).collect()}
+    assert ("decontamination-pass" in written) == (a_pass == 2)  # the documents are written only between passes
     windows = {}
     for i, t in items:
         w = D.words((t or "").encode())
@@ -618,6 +639,43 @@ def test_loser_tree_merges_with_common_prefixes():
     assert all(m[0] == suffix_dedup.common_prefix(a[1], m[1], 0) for a, m in zip(merged, merged[1:]))
 
 
+def test_filters_are_sized_by_what_goes_in(spark, monkeypatch):
+    """The share of singles let through stays low as the input grows, where the size follows it; a fixed size fills up."""
+    monkeypatch.setattr(bloom, "LEAST_BITS", 1 << 10)
+    rng = np.random.default_rng(61)
+
+    def let_through(n, bits):
+        singles, again = rng.integers(0, 1 << 63, n, np.uint64), rng.integers(0, 1 << 63, n // 10, np.uint64)
+        parts = [bloom.SeenTwice(bits) for _ in range(4)]
+        for k, part in enumerate(parts):
+            part.add(singles[k::4])
+            part.add(again)
+        once, twice = bloom._united([bloom.slice_batch(p) for p in parts]) if bits <= bloom.SLICE_BITS else (None, None)
+        assert bloom.probe(twice, again, bits).all()
+        return bloom.probe(twice, singles, bits).mean()
+
+    shares = [let_through(n, bloom.bits_for(n + n // 10)) for n in (2_000, 8_000, 32_000, 100_000)]
+    assert max(shares) < 0.05
+    assert let_through(100_000, bloom.bits_for(2_000)) > 0.9
+    assert bloom.bits_for(0) == 1 << 10 and bloom.bits_for(10**12) == bloom.MOST_BITS
+
+
+def test_filters_of_many_tasks_merge_in_two_steps(spark, monkeypatch):
+    def add(batches):
+        seen = bloom.SeenTwice(1 << 22)
+        for batch in batches:
+            seen.add(batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        yield bloom.slice_batch(seen)
+
+    prepare(spark)
+    parts = common.staged(spark.range(0, 4000, 1, 8).selectExpr("id % 3000 AS id").repartition(8).mapInArrow(add, bloom.SLICES), "test-slices")
+    one = bloom.merged_twice(parts, 1 << 22)
+    monkeypatch.setattr(bloom, "MERGED_AT_ONCE", 2)
+    assert (bloom.merged_twice(parts, 1 << 22) == one).all()
+    hashes = np.arange(3000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert bloom.probe(one, hashes[:1000], 1 << 22).all() and bloom.probe(one, hashes[1000:], 1 << 22).mean() < 0.05
+
+
 def test_empty_tables(spark):
     empty = docs(spark, [])
     bench = spark.createDataFrame([], "item_id long, text string")
