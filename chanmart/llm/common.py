@@ -105,6 +105,14 @@ def replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBat
     return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def tidy(run):
     """Wrap a task's batch function so that freed memory goes back to the system when the task ends.
 
@@ -116,10 +124,7 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            release()
 
     return wrapped
 

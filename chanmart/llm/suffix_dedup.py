@@ -49,11 +49,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chanmart.llm import bloom
-from chanmart.llm.common import byte_texts, few_texts, prepare, staged, tidy
+from chanmart.llm.common import byte_texts, few_texts, prepare, release, staged, tidy
 
 LENGTH = 200
 GRAM = 64
-FILTER_BITS = 1 << 27
+#: Text bytes per anchor, less than there are: a window holds ``length - gram + 1`` grams and one anchor at least.
+ANCHOR_BYTES = 40
 #: Text bytes whose rolling hashes are held at once.
 CHUNK_BYTES = 1 << 20
 #: Text bytes a bucket of the merge stands for.
@@ -530,11 +531,13 @@ def _hot_places(texts: DataFrame, hot, length: int, gram: int, most: int, parts:
 
 
 def repeated_spans(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int = FILTER_BITS, bucket_bytes: int = BUCKET_BYTES, hot_places: int = HOT_PLACES
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int | None = None, bucket_bytes: int = BUCKET_BYTES, hot_places: int = HOT_PLACES
 ) -> DataFrame:
     """digest (128-bit hash of a text) and spans, array of (first, last) with last exclusive, of texts that lose bytes."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = bits or bloom.bits_for(total // ANCHOR_BYTES)
 
     @tidy
     def sketch(batches):
@@ -556,7 +559,6 @@ def repeated_spans(
     counted = sketched.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") > hot_places)
     # at most one in ``hot_places`` anchors
     hot = spark.sparkContext.broadcast(np.sort(np.array([r["gram"] for r in counted.select("gram").collect()], np.int64).view(np.uint64)))
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(64, -(-total // bucket_bytes))
     before = length - gram
 
@@ -598,18 +600,28 @@ def repeated_spans(
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [x for batch in batches for x in batch.column("run").to_pylist()]
         rows: list[tuple] = []
+        held: list[np.ndarray] = []
 
-        def out():
+        def pack():
             digests, first, last = zip(*rows)
-            return span_batch(span_array(b"".join(digests), first, last), buckets)
+            held.append(span_array(b"".join(digests), first, last))
+            rows.clear()
 
         for row in _bucket_spans(blobs, length, gram):
             rows.append(row)
-            if len(rows) >= HELD_SPANS:
-                yield out()
-                rows.clear()
+            if len(rows) >= HELD_SPANS // 16:
+                pack()
+            if len(held) >= 16:
+                yield span_batch(np.concatenate(held), buckets)
+                held.clear()
         if rows:
-            yield out()
+            pack()
+        if held:
+            yield span_batch(np.concatenate(held), buckets)
+        # Workers outlive their groups: what a bucket took goes back.
+        blobs.clear()
+        held.clear()
+        release()
 
     found = sent.groupBy("bucket").applyInArrow(merge, SPANS)
     if len(hot.value):
@@ -641,7 +653,7 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def dedup_substrings(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int = FILTER_BITS, bucket_bytes: int = BUCKET_BYTES, hot_places: int = HOT_PLACES
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col: str = "text", bits: int | None = None, bucket_bytes: int = BUCKET_BYTES, hot_places: int = HOT_PLACES
 ) -> DataFrame:
     """The documents plus ``kept`` (binary, the bytes that stay), ``n_bytes``, ``n_removed`` and ``n_spans``.
 
@@ -652,6 +664,7 @@ def dedup_substrings(
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
     names = docs.columns
     spans = staged(repeated_spans(docs, length, gram, text_col, bits, bucket_bytes, hot_places), "repeated-spans")
+    bits = bits or bloom.bits_for(spans.count())
 
     @tidy
     def add(batches):
