@@ -19,6 +19,18 @@ STG_MESSAGE_COLUMNS = (
 )
 
 
+# Where a message's fields lie in its JSON text.
+PATHS = {
+    "_id": "$.id",
+    "_channel": "$.peer_id.channel_id",
+    "_date": "$.date",
+    "_message": "$.message",
+    "_views": "$.views",
+    "_sender": "$.from_id.user_id",
+    "_media": "$.media._",
+}
+
+
 def stg_telegram_messages(raw_messages: DataFrame, carry=()) -> DataFrame:
     """One typed row per raw message.
 
@@ -30,15 +42,15 @@ def stg_telegram_messages(raw_messages: DataFrame, carry=()) -> DataFrame:
     ``carry`` names extra raw columns to keep (e.g. a partition column).
     """
     parsed = J.with_parsed(raw_messages, "raw_data", lenient=False, keep=["loaded_at", *carry])
-    doc = F.col("_doc")
-    return parsed.select(
-        J.strict_cast(J.json_text(doc, "$.id"), "bigint").alias("message_id"),
-        J.strict_cast(J.json_text(doc, "$.peer_id.channel_id"), "bigint").alias("channel_id"),
-        J.strict_cast(J.json_text(doc, "$.date"), "timestamp_ntz").alias("message_posted_at"),
-        J.json_text(doc, "$.message").alias("message_text"),
-        J.strict_cast(J.json_text(doc, "$.views"), "int").alias("view_count"),
-        J.strict_cast(J.json_text(doc, "$.from_id.user_id"), "bigint").alias("sender_user_id"),
-        (J.json_text(doc, "$.media._") == F.lit(J.PHOTO_MEDIA)).alias("has_photo"),
+    texts = J.with_json_texts(parsed, PATHS)
+    return texts.select(
+        J.strict_cast(F.col("_id"), "bigint").alias("message_id"),
+        J.strict_cast(F.col("_channel"), "bigint").alias("channel_id"),
+        J.strict_cast(F.col("_date"), "timestamp_ntz").alias("message_posted_at"),
+        F.col("_message").alias("message_text"),
+        J.strict_cast(F.col("_views"), "int").alias("view_count"),
+        J.strict_cast(F.col("_sender"), "bigint").alias("sender_user_id"),
+        (F.col("_media") == F.lit(J.PHOTO_MEDIA)).alias("has_photo"),
         "loaded_at",
         *carry,
     )
