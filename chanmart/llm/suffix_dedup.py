@@ -58,7 +58,9 @@ ANCHOR_BYTES = 40
 #: Text bytes whose rolling hashes are held at once.
 CHUNK_BYTES = 1 << 20
 #: Text bytes a bucket of the merge stands for.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+#: Suffixes that a task holds before it sends them as runs.
+HELD_SUFFIXES = 50_000
 #: Places of one gram, and surroundings under one key, that a task may hold at once.
 HOT_PLACES = 10_000
 #: Hashes whose counts a task keeps to find such grams.
@@ -588,10 +590,11 @@ def repeated_spans(
                     place = digest + p.to_bytes(8, "little")
                     entry[place] = entry.get(place, 0) + 1
                     n += 1
-                if n > 150_000:
+                if n > HELD_SUFFIXES:
                     yield out()
                     held.clear()
                     n = 0
+                    release()
         if held:
             yield out()
 
